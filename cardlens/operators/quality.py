@@ -5,28 +5,40 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cardlens.schemas import TableSchema
 
+# The range of an INTEGER.
+_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
-def _lost_in_cast(table: TableSchema, column: str) -> Column:
-    return F.col(column).isNotNull() & F.col(column).try_cast(table.spark_type(column)).isNull()
+
+def _typed(df: DataFrame, table: TableSchema, column: str) -> Column:
+    """The column in its declared type, null where it does not fit."""
+    value, wanted = F.col(column), table.spark_type(column)
+    if wanted == "integer" and isinstance(df.schema[column].dataType, T.NumericType):
+        # try_cast answers an overflow through an exception for each row; a range test is cheap.
+        return F.when(value.between(_INT_MIN, _INT_MAX), value).cast("int")
+    return value.try_cast(wanted)
+
+
+def _lost_in_cast(df: DataFrame, table: TableSchema, column: str) -> Column:
+    return F.col(column).isNotNull() & _typed(df, table, column).isNull()
 
 
 def apply_schema(df: DataFrame, table: TableSchema) -> DataFrame:
     """The table's columns in its order and types. A value that does not fit becomes null under both
     ANSI settings; ``cast_violations`` and ``violation_counts`` tell which and how many."""
-    return df.select(*(F.col(c).try_cast(table.spark_type(c)).alias(c) for c in table.columns))
+    return df.select(*(_typed(df, table, c).alias(c) for c in table.columns))
 
 
-def violation_counts(table: TableSchema) -> list[Column]:
+def violation_counts(df: DataFrame, table: TableSchema) -> list[Column]:
     """Aggregates that count, per column, values lost in the cast and strings over the limit.
 
     Meant for ``DataFrame.observe``, which fills them in while the table is being written.
     """
     counts = [
-        F.count_if(_lost_in_cast(table, c)).alias(f"cast:{c}")
+        F.count_if(_lost_in_cast(df, table, c)).alias(f"cast:{c}")
         for c in table.columns
         if table.spark_type(c) != "string"
     ]
@@ -41,7 +53,7 @@ def cast_violations(df: DataFrame, table: TableSchema, row_id: list[str]) -> Dat
     """One row per value that ``apply_schema`` cannot represent: row id, column, value."""
     found = [
         F.when(
-            _lost_in_cast(table, c),
+            _lost_in_cast(df, table, c),
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")),
         )
         for c in table.columns

@@ -37,7 +37,7 @@ def load_table(spark: SparkSession, dataset: str, raw: DataFrame, path: str) ->
         write_table(cleaned, path)
         return read_table(spark, path)
     seen = Observation(f"load {dataset}")
-    typed = apply_schema(cleaned.observe(seen, *violation_counts(table)), table)
+    typed = apply_schema(cleaned.observe(seen, *violation_counts(cleaned, table)), table)
     write_table(typed, path, table.month_of, _CLUSTER_BY.get(dataset, ()))
     broken = {rule: n for rule, n in seen.get.items() if n}
     if broken:

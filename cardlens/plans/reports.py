@@ -89,9 +89,8 @@ def monthly_bill(
     credit: DataFrame, card: str | None, year: int | str, month: int | str
 ) -> DataFrame:
     """Total of a card in a month; no row without activity. ``card=None`` bills every card at once."""
-    rows = credit.where(in_month(credit, parse_month(year, month)))
-    if card is not None:
-        rows = rows.where(F.col("CUST_CC_NO") == parse_card(card))
+    rows = credit if card is None else credit.where(F.col("CUST_CC_NO") == parse_card(card))
+    rows = rows.where(in_month(credit, parse_month(year, month)))
     return rows.groupBy("CUST_CC_NO").agg(money_sum(F.col("TRANSACTION_VALUE")).alias("MONTHLY_BILL"))
 
 
@@ -99,9 +98,9 @@ def transactions_between(
     credit: DataFrame, card: str, start: int | str, end: int | str
 ) -> DataFrame:
     """A card's transactions between two dates, both included, newest first."""
-    rows = credit.where(in_range(credit, parse_date_bound(start), parse_date_bound(end)))
     return (
-        rows.where(F.col("CUST_CC_NO") == parse_card(card))
+        credit.where(F.col("CUST_CC_NO") == parse_card(card))
+        .where(in_range(credit, parse_date_bound(start), parse_date_bound(end)))
         .orderBy(F.desc("TIMEID"), "TRANSACTION_ID")
         .drop(MONTH_COLUMN)
     )

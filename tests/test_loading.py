@@ -1,0 +1,65 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cardlens.plans import reports
+from cardlens.plans.loading import LoadRejected, load_table, load_tables, update_customers
+from cardlens.schemas import CUSTOMER, UPDATABLE
+from conftest import plan, rows
+
+
+@pytest.fixture
+def tables(spark, raw_credit, raw_customer, loan, tmp_path):
+    return load_tables(
+        spark, {"credit": raw_credit, "customer": raw_customer, "loan": loan}, str(tmp_path / "v1")
+    )
+
+
+def test_loaded_tables_answer_reports_and_sql(spark, tables):
+    bill = reports.monthly_bill(tables["credit"], "4210653310061055", 2018, 2)
+    assert rows(bill) == [("4210653310061055", 116.43)]
+    zips = reports.transactions_by_zip_month(tables["credit"], tables["customer"], "39120", 2018, 2)
+    assert [r[3] for r in rows(zips)] == ["20180228", "20180208"]
+    assert spark.sql("SELECT COUNT(*) FROM cdw_sapp_credit_card").first()[0] == 5
+    assert spark.sql("SELECT COUNT(Self_Employed) FROM cdw_sapp_loan_application").first()[0] == 7
+    assert "ym" not in reports.transactions_between(tables["credit"], "4210653310061055", "2018", "2019").columns
+
+
+def test_month_and_card_reach_the_scan(tables):
+    text = plan(reports.monthly_bill(tables["credit"], "4210653310061055", 2018, 2))
+    assert "PartitionFilters: [isnotnull(ym" in text
+    assert "StringStartsWith(TIMEID,201802)" in text
+    assert "EqualTo(CUST_CC_NO,4210653310061055)" in text
+    text = plan(reports.transactions_between(tables["credit"], "4210653310061055", "20180201", "20181231"))
+    assert "GreaterThanOrEqual(TIMEID,20180201)" in text and "(ym" in text
+
+
+def test_rejects_a_repeated_key(spark, raw_customer, tmp_path):
+    with pytest.raises(LoadRejected, match="SSN"):
+        load_table(spark, "customer", raw_customer.unionByName(raw_customer), str(tmp_path / "c"))
+
+
+def test_rejects_long_text_and_lost_values(spark, raw_customer, tmp_path):
+    bad = raw_customer.withColumn("CUST_EMAIL", F.repeat(F.lit("x"), 51)).withColumn("CUST_ZIP", F.lit("n/a"))
+    with pytest.raises(LoadRejected) as error:
+        load_table(spark, "customer", bad, str(tmp_path / "c"))
+    assert "'length:CUST_EMAIL': 2" in str(error.value) and "'cast:CUST_ZIP': 2" in str(error.value)
+
+
+def test_update_writes_a_new_version_and_moves_the_view(spark, tables, tmp_path):
+    values = ["New", "m", "Name", "Elm, 1", "Natchez", "MS", "United States", "39121", "(1)2-3", "n@e.com"]
+    updates = spark.createDataFrame(
+        [(123456100, 1, *values), (5, 1, *values)], ["SSN", "seq", *UPDATABLE]
+    )
+    current, unmatched = update_customers(spark, tables["customer"], updates, str(tmp_path / "v2"))
+    assert [r["SSN"] for r in unmatched.collect()] == [5]
+    seen = spark.sql(f"SELECT CUST_ZIP FROM {CUSTOMER.name} WHERE SSN = 123456100").first()[0]
+    assert seen == 39121
+    assert current.count() == 2
+    assert tables["customer"].where("CUST_ZIP = 39120").count() == 1
+
+
+def test_update_refuses_an_undefined_order(spark, tables, tmp_path):
+    values = ["x"] * len(UPDATABLE)
+    updates = spark.createDataFrame([(1, 1, *values), (1, 1, *values)], ["SSN", "seq", *UPDATABLE])
+    with pytest.raises(LoadRejected, match="seq"):
+        update_customers(spark, tables["customer"], updates, str(tmp_path / "v2"))
