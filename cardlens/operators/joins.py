@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # Raw bytes up to which a side is sent whole to every executor.
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-# Copies of the lookup side, and so tasks per hot key, when it is too large for that.
-SALT_BUCKETS = 16
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# A key is hot when it holds more than this part of the rows, so there are fewer than 200 of them.
+HOT_SHARE = 0.005
+# Tasks over which one hot key is spread.
+SALT_BUCKETS = 256
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -21,27 +25,45 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     return df.agg(size.alias("bytes")).first()["bytes"] <= max_bytes
 
 
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """The non-null keys that hold more than ``share`` of the rows, from one pass with a mergeable sketch.
+
+    No key is shuffled, and at most ``1 / share`` keys come back. The sketch's counts are estimates,
+    which is enough here: hot or not decides where a row is joined, not whether.
+    """
+    most = int(1 / share)
+    found = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {most}, {50 * most})").alias("top"), F.count("*").alias("n")
+    ).first()
+    heavy = [row["item"] for row in found["top"] if row["count"] > share * found["n"]]
+    return [item for item in heavy if item is not None]
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
-    spread_by: str,
+    spread_by: Sequence[str],
     how: str = "inner",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on ``key``, whatever share of ``facts`` one key holds.
 
-    A lookup measured to be small is broadcast, and ``facts`` is not shuffled. A larger one is joined
-    on the key and a salt: rows of a hot key are spread by a hash of ``spread_by`` (a column that
-    tells them apart, so that a retried task salts them alike), and each lookup row is copied once per
-    salt value. ``how`` may be any type that keeps no unmatched lookup rows.
+    A lookup measured to be small is broadcast, and ``facts`` is not shuffled. A larger one meets
+    ``facts`` in a shuffle join on the key and a salt. The salt is 0 but for hot and null keys, whose
+    rows are spread by a hash of ``spread_by`` (columns that tell rows apart, so that a retried task
+    salts them alike); only the lookup rows of hot keys are copied. The merge hint keeps Spark from
+    broadcasting, on the strength of its compressed size, what was measured to be large. ``how`` may
+    be any type that keeps no unmatched lookup rows.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join cannot be {how!r}")
     if fits_broadcast(lookup, max_broadcast_bytes):
         return facts.join(F.broadcast(lookup), key, how)
-    salt = "_salt"
-    salted = facts.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(salt_buckets)).cast("int"))
-    copies = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted.join(copies, [key, salt], how).drop(salt)
+    hot = F.col(key).isin(hot_keys(facts, key))
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salt_buckets)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+    salted = facts.withColumn("_salt", F.when(hot | F.col(key).isNull(), spread).otherwise(0))
+    copies = lookup.withColumn("_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
+    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")

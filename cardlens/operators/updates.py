@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardlens.operators.joins import fits_broadcast
+from cardlens.operators.joins import fits_broadcast, lookup_join
 from cardlens.operators.quality import key_violations
 from cardlens.schemas import UPDATABLE
 
@@ -30,12 +30,12 @@ def apply_updates(
     The key alone decides a match: nulls and empty strings among the new values are stored. ``key``
     must be unique in ``df`` (``key_violations``). Updates are reduced to one per key before and after
     their shuffle, so any number may address the same key. A batch measured to be small is broadcast
-    and the table keeps its place; a larger one meets the table in a shuffle join.
+    and the table keeps its place; a larger one meets the table in a shuffle join, one row a key on
+    either side.
     """
     batch = updates.select(key, seq, *columns).where(F.col(key).isNotNull())
     latest = batch.groupBy(key).agg(F.max(F.struct(seq, *columns)).alias("_update"))
-    if fits_broadcast(batch):
-        latest = F.broadcast(latest)
+    latest = F.broadcast(latest) if fits_broadcast(batch) else latest.hint("merge")
     matched = F.col("_update").isNotNull()
     stamped = F.current_timestamp() if as_of is None else as_of
 
@@ -55,11 +55,12 @@ def unmatched_updates(df: DataFrame, updates: DataFrame, key: str = "SSN") -> Da
     """Updates whose key is not in the table, null keys included.
 
     When the batch's keys are measured to be small, they are broadcast to find the ones that exist,
-    and the table is read but not shuffled. Otherwise both sides are shuffled for an anti join, whose
-    hot keys Spark splits while it runs.
+    which are no more than they are; neither the table nor the batch is shuffled for the join.
+    Otherwise the batch meets the table's keys in a ``lookup_join``, however often it repeats a key.
     """
     keys = updates.select(key).where(F.col(key).isNotNull())
     known = df.select(key)
     if fits_broadcast(keys):
-        known = known.join(F.broadcast(keys.distinct()), key, "left_semi").distinct()
-    return updates.join(known, key, "left_anti")
+        found = known.join(F.broadcast(keys.distinct()), key, "left_semi").distinct()
+        return updates.join(F.broadcast(found), key, "left_anti")
+    return lookup_join(updates, known, key, updates.columns, "left_anti")

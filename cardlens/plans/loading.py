@@ -17,7 +17,7 @@ _CLUSTER_BY = {"credit": ("CUST_CC_NO", "TIMEID"), "customer": ("SSN",)}
 
 
 class LoadRejected(ValueError):
-    """The written rows break the table's types, lengths or key; nothing was registered."""
+    """Rows break the table's types, lengths or key. A version already written stays unregistered."""
 
 
 def _require_unique(df: DataFrame, keys: tuple[str, ...], what: str) -> None:

@@ -30,7 +30,7 @@ def transactions_by_zip_month(
         "CUST_SSN", "CUST_CC_NO", "TIMEID", "TRANSACTION_VALUE", "TRANSACTION_ID"
     )
     return (
-        lookup_join(made, wanted, "CUST_SSN", "TRANSACTION_ID", max_broadcast_bytes=max_broadcast_bytes)
+        lookup_join(made, wanted, "CUST_SSN", ["TRANSACTION_ID"], max_broadcast_bytes=max_broadcast_bytes)
         .orderBy(F.desc("TIMEID"), "TRANSACTION_ID")
         .select("CUST_SSN", "CUST_CC_NO", "CUST_ZIP", "TIMEID", "TRANSACTION_VALUE")
     )

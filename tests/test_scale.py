@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from cardlens.operators import fits_broadcast, lookup_join, with_share, with_top_flag
+from cardlens.operators import fits_broadcast, hot_keys, lookup_join, with_share, with_top_flag
 from cardlens.plans import insights, reports
 from conftest import plan, rows
 
@@ -26,7 +26,7 @@ def lookup(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(facts, lookup, conf, how):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    salted = lookup_join(facts, lookup, "k", "id", how, max_broadcast_bytes=-1)
+    salted = lookup_join(facts, lookup, "k", ["id"], how, max_broadcast_bytes=-1)
     assert "BroadcastHashJoin" not in plan(salted)
     plain = facts.join(lookup, "k", how)
     assert salted.columns == plain.columns
@@ -41,17 +41,31 @@ def test_salted_join_spreads_a_hot_key(facts, lookup, conf):
     def tasks(df):
         return df.where(hot).groupBy(F.spark_partition_id().alias("p")).count().collect()
 
-    spread = tasks(lookup_join(facts, lookup, "k", "id", max_broadcast_bytes=-1, salt_buckets=16))
+    spread = tasks(lookup_join(facts, lookup, "k", ["id"], max_broadcast_bytes=-1, salt_buckets=64))
     assert len(tasks(facts.join(lookup, "k"))) == 1
-    assert len(spread) >= 5
-    assert max(r["count"] for r in spread) < 0.45 * sum(r["count"] for r in spread)
+    assert len(spread) == 8
+    assert max(r["count"] for r in spread) < 0.3 * sum(r["count"] for r in spread)
+
+
+def test_hot_keys_are_found_and_few(spark, facts):
+    assert hot_keys(facts.where("id % 2 = 0 OR k IS NULL"), "k") == [1]
+    even = spark.range(100_000).select(F.pmod(F.col("id"), F.lit(1000)).alias("k"))
+    assert hot_keys(even, "k") == []
+    assert hot_keys(even.limit(0), "k") == []
+    assert hot_keys(facts.select(F.col("k").cast("string")).where("k IS NULL OR k = '1'"), "k") == ["1"]
+
+
+def test_only_hot_lookup_rows_are_copied(facts, lookup):
+    df = lookup_join(facts.where("k = 1 OR id % 1000 = 3"), lookup, "k", ["id"], max_broadcast_bytes=-1)
+    assert "MERGE" in plan(df, "extended").upper()
+    assert df.where("k = 1").count() == facts.where("k = 1").count()
 
 
 def test_lookup_join_measures_before_it_broadcasts(facts, lookup, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    assert "BroadcastHashJoin" in plan(lookup_join(facts, lookup, "k", "id"))
+    assert "BroadcastHashJoin" in plan(lookup_join(facts, lookup, "k", ["id"]))
     with pytest.raises(ValueError):
-        lookup_join(facts, lookup, "k", "id", "full")
+        lookup_join(facts, lookup, "k", ["id"], "full")
 
 
 def test_fits_broadcast_counts_text(spark):
