@@ -156,8 +156,7 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
     SELECT CASE quality WHEN 1 THEN 'Y' ELSE 'N' END AS "Application_Status",
-           CASE toxic WHEN 1 THEN 'Yes' ELSE 'No' END AS "Self_Employed",
-           CAST(NULL AS VARCHAR) AS "Married", CAST(NULL AS VARCHAR) AS "Gender"
+           CASE toxic WHEN 1 THEN 'Yes' ELSE 'No' END AS "Self_Employed"
     FROM labels""")
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loan dataset written as JSON arrays, one to a line, and read back."""
@@ -309,6 +308,18 @@ def branch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(f"""
+    SELECT s_suppkey AS "BRANCH_CODE", COUNT(l_suppkey) AS "TOTAL_NUMBER_OF_TRANSACTIONS",
+           {_money('l_extendedprice')} AS "TOTAL_VALUE_OF_TRANSACTIONS"
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+         LEFT JOIN lineitem ON l_suppkey = s_suppkey
+    WHERE r_name = 'AMERICA' GROUP BY s_suppkey""")
+def branch_totals_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The branches of a whole region; the SQL joins first, the report aggregates first."""
+    branch = st.supplier_as_branch_of_region(spark, sf_dir)
+    return reports.branch_totals(branch, st.lineitem_as_credit(spark, sf_dir), "AMERICA")
+
+
 def _documents_as_branch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents as branches in the state of their language, labels as transactions: many are empty."""
     branch = st.read(spark, sf_dir, "documents").select(

@@ -29,8 +29,11 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
         STREET_NAME=_STR, APT_NO=_STR, CUST_CITY=_STR, CUST_STATE=_STR, CUST_COUNTRY=_STR,
         CUST_ZIP=_STR, CUST_PHONE=_STR, CUST_EMAIL=_STR, LAST_UPDATED=_STR,
     ),
-    "loan": _struct(Application_Status=_STR, Self_Employed=_STR, Married=_STR, Gender=_STR),
 }
+# Loan applications are taken with all the columns they come with. These are the ones the insights use.
+LOAN_SCHEMA = _struct(Application_Status=_STR, Self_Employed=_STR, Married=_STR, Gender=_STR)
+
+DATASETS = (*RAW_SCHEMAS, "loan")
 
 
 @dataclass(frozen=True)

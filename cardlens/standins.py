@@ -89,6 +89,15 @@ def supplier_as_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplier_as_raw_branch(spark, sf_dir).select("BRANCH_CODE", "BRANCH_STATE")
 
 
+def supplier_as_branch_of_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    supplier = read(spark, sf_dir, "supplier")
+    return supplier.join(places, supplier.s_nationkey == places.n_nationkey).select(
+        F.col("s_suppkey").alias("BRANCH_CODE"), F.col("r_name").alias("BRANCH_STATE")
+    )
+
+
 def _phone(key: str) -> Column:
     """A ten-digit number made from a key."""
     return F.lpad((F.col(key) * 7919).cast("string"), 10, "0")

@@ -1,0 +1,118 @@
+"""Reports and insights against the plain SQL statement of each, on random skewed data with nulls."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardlens.plans import insights, reports
+from conftest import rows
+
+CARDS = [f"42{n:04d}" for n in range(40)]
+TYPES = ["Bills", "Healthcare", "Gas", "Test", None]
+STATES = ["NY", "NJ", "PA", None]
+
+
+@pytest.fixture(scope="module", params=[1, 2, 3])
+def views(spark, request):
+    rng = random.Random(request.param)
+
+    def pick(values, hot):
+        """One value for a third of the rows, a null for some, any for the rest."""
+        draw = rng.random()
+        return hot if draw < 0.33 else None if draw < 0.38 else rng.choice(values)
+
+    def day():
+        return f"{rng.choice([2017, 2018])}{rng.randint(1, 12):02d}{rng.randint(1, 28):02d}"
+
+    credit = [
+        (
+            pick(CARDS, CARDS[0]), pick([day()], "20180214"), pick(list(range(60)), 7), pick(list(range(30)), 25),
+            rng.choice(TYPES), None if rng.random() < 0.05 else rng.randint(-100, 100_000) / 100, n,
+        )
+        for n in range(4000)
+    ]
+    branch = [(pick(list(range(40)), 25) if n > 40 else n, rng.choice(STATES)) for n in range(60)]
+    customer = [(n, rng.choice([39120, 7501, None]), rng.choice(STATES)) for n in range(50)]
+    frames = {
+        "credit": spark.createDataFrame(
+            credit,
+            "CUST_CC_NO string, TIMEID string, CUST_SSN int, BRANCH_CODE int, TRANSACTION_TYPE string, "
+            "TRANSACTION_VALUE double, TRANSACTION_ID int",
+        ),
+        "branch": spark.createDataFrame(branch, "BRANCH_CODE int, BRANCH_STATE string"),
+        "customer": spark.createDataFrame(customer, "SSN int, CUST_ZIP int, CUST_STATE string"),
+    }
+    for name, df in frames.items():
+        df.createOrReplaceTempView(f"plain_{name}")
+    return frames
+
+
+def same(spark, ours, sql, ordered=False):
+    mine, plain = rows(ours), rows(spark.sql(sql))
+    if ordered:
+        assert mine == plain
+    assert sorted(mine, key=str) == sorted(plain, key=str)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, -1], ids=["broadcast", "salted"])
+def test_zip_month(spark, views, limit):
+    ours = reports.transactions_by_zip_month(
+        views["credit"], views["customer"], "07501", 2018, "02", max_broadcast_bytes=limit
+    )
+    same(spark, ours, """
+        SELECT cc.CUST_SSN, cc.CUST_CC_NO, cu.CUST_ZIP, cc.TIMEID, cc.TRANSACTION_VALUE
+        FROM plain_credit cc JOIN plain_customer cu ON cc.CUST_SSN = cu.SSN
+        WHERE cu.CUST_ZIP = 7501 AND LEFT(cc.TIMEID, 6) = '201802'
+        ORDER BY TIMEID DESC, TRANSACTION_ID""", ordered=True)
+
+
+def test_type_totals(spark, views):
+    same(spark, reports.type_totals(views["credit"], "Healthcare"), """
+        SELECT TRANSACTION_TYPE, COUNT(TRANSACTION_TYPE), ROUND(SUM(TRANSACTION_VALUE), 2)
+        FROM plain_credit GROUP BY TRANSACTION_TYPE HAVING TRANSACTION_TYPE = 'Healthcare'""")
+
+
+@pytest.mark.parametrize("preserved", [True, False])
+def test_branch_totals(spark, views, preserved):
+    counted = "br.BRANCH_CODE" if preserved else "cc.BRANCH_CODE"
+    same(spark, reports.branch_totals(views["branch"], views["credit"], "NY", count_preserved=preserved), f"""
+        SELECT br.BRANCH_CODE, COUNT({counted}), ROUND(SUM(cc.TRANSACTION_VALUE), 2)
+        FROM plain_branch br LEFT JOIN plain_credit cc ON br.BRANCH_CODE = cc.BRANCH_CODE
+        WHERE br.BRANCH_STATE = 'NY' GROUP BY br.BRANCH_CODE""")
+
+
+def test_bills(spark, views):
+    bill = "SELECT CUST_CC_NO, ROUND(SUM(TRANSACTION_VALUE), 2) FROM plain_credit WHERE LEFT(TIMEID, 6) = '201802'"
+    same(spark, reports.monthly_bill(views["credit"], None, 2018, 2), f"{bill} GROUP BY CUST_CC_NO")
+    same(spark, reports.monthly_bill(views["credit"], CARDS[0], 2018, 2),
+         f"{bill} AND CUST_CC_NO = '{CARDS[0]}' GROUP BY CUST_CC_NO")
+
+
+def test_transactions_between(spark, views):
+    same(spark, reports.transactions_between(views["credit"], CARDS[0], "201709", "20180301"), f"""
+        SELECT * FROM plain_credit WHERE CUST_CC_NO = '{CARDS[0]}' AND TIMEID BETWEEN '201709' AND '20180301'
+        ORDER BY TIMEID DESC, TRANSACTION_ID""", ordered=True)
+
+
+def test_counts_and_tops(spark, views):
+    credit = views["credit"]
+    same(spark, insights.transactions_by_type(credit).drop("is_top"), """
+        SELECT TRANSACTION_TYPE, COUNT(TRANSACTION_TYPE) AS n FROM plain_credit GROUP BY TRANSACTION_TYPE
+        ORDER BY n DESC, TRANSACTION_TYPE""", ordered=True)
+    same(spark, insights.customers_by_state(views["customer"]).drop("is_top"), """
+        SELECT CUST_STATE, COUNT(CUST_STATE) AS n FROM plain_customer GROUP BY CUST_STATE
+        ORDER BY n DESC, CUST_STATE""", ordered=True)
+    same(spark, insights.top_customers(credit), """
+        SELECT CUST_SSN, ROUND(SUM(TRANSACTION_VALUE), 2) AS v FROM plain_credit GROUP BY CUST_SSN
+        ORDER BY v DESC, CUST_SSN LIMIT 10""", ordered=True)
+    same(spark, insights.top_branches(credit), """
+        SELECT BRANCH_CODE, ROUND(SUM(TRANSACTION_VALUE), 2) AS v FROM plain_credit
+        WHERE TRANSACTION_TYPE = 'Healthcare' GROUP BY BRANCH_CODE
+        ORDER BY v DESC, BRANCH_CODE LIMIT 20""", ordered=True)
+    same(spark, insights.volume_by_month(credit).select("Month", "Volume"), """
+        SELECT SUBSTR(TIMEID, 5, 2) AS Month, COUNT(TIMEID) FROM plain_credit GROUP BY SUBSTR(TIMEID, 5, 2)
+        ORDER BY Month""", ordered=True)
+    leaders = rows(insights.volume_by_month(credit).where("is_top").select("Volume"))
+    every = rows(insights.volume_by_month(credit).select(F.col("Volume")))
+    assert set(leaders) == set(sorted(set(every), reverse=True)[:3])
