@@ -5,10 +5,14 @@ The given tables hold no card data; ``cardlens.standins`` says which column stan
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # for a driver started elsewhere
+
 from cardlens import functions as fn, operators as op, standins as st
 from cardlens.plans import insights, loading, reports
 from cardlens.schemas import CREDIT, CUSTOMER, TableSchema

@@ -14,14 +14,16 @@ def money_sum(value: Column) -> Column:
     """``ROUND(SUM(value), 2)`` that does not depend on the order in which rows arrive.
 
     A plain double sum drifts by cents once totals are large, and differently after each retry. A
-    decimal sum is exact but three times slower. Whole units and millionths are therefore summed as
-    two longs, which stay inside generated code, and put together as a decimal once per group. Groups
-    with a NaN, an infinity or a single value of a billion or more get the plain rounded sum.
+    decimal sum is exact but several times slower. Whole units and millionths are therefore summed as
+    two longs, which stay inside generated code, and put together as a decimal once per group. Single
+    values of a billion or more, infinities and NaN are summed as doubles and added to that.
     """
-    units = F.floor(value)
-    millionths = F.floor((value - units) * 1e6 + 0.5)
-    total = F.try_sum(units).cast("decimal(26,6)") + (
-        F.try_sum(millionths).cast("decimal(25,0)") * F.lit(Decimal("0.000001"))
+    plain = F.abs(value) < _EXACT_BELOW
+    units = F.sum(F.when(plain, F.floor(value)))
+    millionths = F.sum(F.when(plain, F.floor((value - F.floor(value)) * 1e6 + 0.5)))
+    large = F.sum(F.when(~plain, value))
+    exact = units.cast("decimal(26,6)") + (
+        millionths.cast("decimal(25,0)") * F.lit(Decimal("0.000001"))
     )
-    exact = F.when(F.max(F.abs(value)) < _EXACT_BELOW, F.round(total, 2).cast("double"))
-    return F.coalesce(exact, F.round(F.sum(value), 2))
+    mixed = F.coalesce(exact.cast("double"), F.lit(0.0)) + large
+    return F.when(large.isNull(), F.round(exact, 2).cast("double")).otherwise(F.round(mixed, 2))

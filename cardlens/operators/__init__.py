@@ -2,7 +2,7 @@ from cardlens.operators.aggregates import (
     composition, count_by, top_by_sum, unclassified, with_share, with_top_flag,
 )
 from cardlens.operators.clean import clean, clean_branch, clean_credit, clean_customer
-from cardlens.operators.joins import fits_broadcast, hot_keys, lookup_join
+from cardlens.operators.joins import fits_broadcast, hot_keys, lookup_join, shuffle_join
 from cardlens.operators.quality import (
     apply_schema, cast_violations, key_violations, length_violations, violation_counts,
 )
@@ -11,6 +11,6 @@ from cardlens.operators.updates import apply_updates, unmatched_updates, update_
 __all__ = [
     "apply_schema", "apply_updates", "cast_violations", "clean", "clean_branch", "clean_credit",
     "clean_customer", "composition", "count_by", "fits_broadcast", "hot_keys", "key_violations",
-    "length_violations", "lookup_join", "top_by_sum", "unclassified",
+    "length_violations", "lookup_join", "shuffle_join", "top_by_sum", "unclassified",
     "unmatched_updates", "update_conflicts", "violation_counts", "with_share", "with_top_flag",
 ]

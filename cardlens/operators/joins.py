@@ -26,17 +26,47 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """The non-null keys that hold more than ``share`` of the rows, from one pass with a mergeable sketch.
+    """The keys, null among them, that hold more than ``share`` of the rows.
 
-    No key is shuffled, and at most ``1 / share`` keys come back. The sketch's counts are estimates,
-    which is enough here: hot or not decides where a row is joined, not whether.
+    One pass with a mergeable sketch: no key is shuffled, a task sends a few thousand counters, and at
+    most ``1 / share`` keys come back. The counts are estimates, which is enough here: hot or not
+    decides where a row is joined, not whether.
     """
     most = int(1 / share)
     found = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {most}, {50 * most})").alias("top"), F.count("*").alias("n")
+        F.expr(f"approx_top_k(`{key}`, {most}, {10 * most})").alias("top"), F.count("*").alias("n")
     ).first()
-    heavy = [row["item"] for row in found["top"] if row["count"] > share * found["n"]]
-    return [item for item in heavy if item is not None]
+    return [row["item"] for row in found["top"] if row["count"] > share * found["n"]]
+
+
+def shuffle_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread_by: Sequence[str],
+    how: str = "inner",
+    salt_buckets: int = SALT_BUCKETS,
+) -> DataFrame:
+    """Sort-merge join of two large sides that spreads the hot keys of ``facts``.
+
+    Without hot keys it is the plain join. With them, both sides get a salt, 0 but for hot keys: their
+    rows are spread by a hash of ``spread_by`` (columns that tell rows apart, so that a retried task
+    salts them alike) and only their lookup rows are copied. The hint keeps Spark from broadcasting,
+    on the strength of its compressed size, a side that was measured to be large.
+    """
+    hot = hot_keys(facts, key)
+    if not hot:
+        return facts.join(lookup.hint("merge"), key, how)
+    is_hot = F.col(key).isin([k for k in hot if k is not None])
+    if None in hot:
+        is_hot = F.col(key).isNull() | is_hot
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salt_buckets)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+    salted = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
+    copies = lookup.where(F.col(key).isNotNull()).withColumn(
+        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
+    )
+    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -46,24 +76,14 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "inner",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on ``key``, whatever share of ``facts`` one key holds.
 
     A lookup measured to be small is broadcast, and ``facts`` is not shuffled. A larger one meets
-    ``facts`` in a shuffle join on the key and a salt. The salt is 0 but for hot and null keys, whose
-    rows are spread by a hash of ``spread_by`` (columns that tell rows apart, so that a retried task
-    salts them alike); only the lookup rows of hot keys are copied. The merge hint keeps Spark from
-    broadcasting, on the strength of its compressed size, what was measured to be large. ``how`` may
-    be any type that keeps no unmatched lookup rows.
+    ``facts`` in a ``shuffle_join``. ``how`` may be any type that keeps no unmatched lookup rows.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup join cannot be {how!r}")
     if fits_broadcast(lookup, max_broadcast_bytes):
         return facts.join(F.broadcast(lookup), key, how)
-    hot = F.col(key).isin(hot_keys(facts, key))
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salt_buckets)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    salted = facts.withColumn("_salt", F.when(hot | F.col(key).isNull(), spread).otherwise(0))
-    copies = lookup.withColumn("_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
-    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
+    return shuffle_join(facts, lookup, key, spread_by, how)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardlens.operators.joins import fits_broadcast, lookup_join
+from cardlens.operators.joins import fits_broadcast, lookup_join, shuffle_join
 from cardlens.operators.quality import key_violations
 from cardlens.schemas import UPDATABLE
 
@@ -28,14 +28,17 @@ def apply_updates(
     """The table with the last update of each key applied and the stamp column set to ``as_of``.
 
     The key alone decides a match: nulls and empty strings among the new values are stored. ``key``
-    must be unique in ``df`` (``key_violations``). Updates are reduced to one per key before and after
-    their shuffle, so any number may address the same key. A batch measured to be small is broadcast
-    and the table keeps its place; a larger one meets the table in a shuffle join, one row a key on
-    either side.
+    is the table's primary key; should it repeat after all, every row of it is updated. Updates are
+    reduced to one per key before and after their shuffle, so any number may address the same key. A
+    batch measured to be small is broadcast and the table keeps its place; a larger one meets the
+    table in a ``shuffle_join``.
     """
     batch = updates.select(key, seq, *columns).where(F.col(key).isNotNull())
     latest = batch.groupBy(key).agg(F.max(F.struct(seq, *columns)).alias("_update"))
-    latest = F.broadcast(latest) if fits_broadcast(batch) else latest.hint("merge")
+    if fits_broadcast(batch):
+        joined = df.join(F.broadcast(latest), key, "left")
+    else:
+        joined = shuffle_join(df, latest, key, df.columns, "left")
     matched = F.col("_update").isNotNull()
     stamped = F.current_timestamp() if as_of is None else as_of
 
@@ -48,7 +51,7 @@ def apply_updates(
             return F.col(name)
         return F.when(matched, new).otherwise(F.col(name)).alias(name)
 
-    return df.join(latest, key, "left").select(*(value(name) for name in df.columns))
+    return joined.select(*(value(name) for name in df.columns))
 
 
 def unmatched_updates(df: DataFrame, updates: DataFrame, key: str = "SSN") -> DataFrame:

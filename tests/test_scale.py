@@ -41,18 +41,32 @@ def test_salted_join_spreads_a_hot_key(facts, lookup, conf):
     def tasks(df):
         return df.where(hot).groupBy(F.spark_partition_id().alias("p")).count().collect()
 
-    spread = tasks(lookup_join(facts, lookup, "k", ["id"], max_broadcast_bytes=-1, salt_buckets=64))
+    spread = tasks(lookup_join(facts, lookup, "k", ["id"], max_broadcast_bytes=-1))
     assert len(tasks(facts.join(lookup, "k"))) == 1
     assert len(spread) == 8
     assert max(r["count"] for r in spread) < 0.3 * sum(r["count"] for r in spread)
 
 
 def test_hot_keys_are_found_and_few(spark, facts):
-    assert hot_keys(facts.where("id % 2 = 0 OR k IS NULL"), "k") == [1]
+    assert hot_keys(facts.where("id % 2 = 0 OR k IS NULL"), "k") == [1, None]
     even = spark.range(100_000).select(F.pmod(F.col("id"), F.lit(1000)).alias("k"))
     assert hot_keys(even, "k") == []
     assert hot_keys(even.limit(0), "k") == []
-    assert hot_keys(facts.select(F.col("k").cast("string")).where("k IS NULL OR k = '1'"), "k") == ["1"]
+    assert hot_keys(facts.select(F.col("k").cast("string")).where("k IS NULL OR k = '1'"), "k") == ["1", None]
+
+
+def test_without_hot_keys_nothing_is_salted(spark, lookup, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    even = spark.range(10_000).select(F.pmod(F.col("id"), F.lit(1000)).alias("k"), "id")
+    assert "_salt" not in plan(lookup_join(even, lookup, "k", ["id"], max_broadcast_bytes=-1))
+
+
+def test_null_keys_are_spread_in_a_left_join(facts, lookup, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    joined = lookup_join(facts, lookup, "k", ["id"], "left", max_broadcast_bytes=-1)
+    nulls = joined.where("k IS NULL").groupBy(F.spark_partition_id()).count()
+    assert nulls.count() == 8
 
 
 def test_only_hot_lookup_rows_are_copied(facts, lookup):

@@ -1,6 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+import cardlens.operators.joins as joins_module
 import cardlens.operators.updates as updates_module
 from cardlens.operators import apply_updates, unmatched_updates, update_conflicts
 from cardlens.schemas import UPDATABLE
@@ -11,7 +14,8 @@ from conftest import plan, rows
 def size(request, monkeypatch, conf):
     if request.param == "shuffle":
         conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-        monkeypatch.setattr(updates_module, "fits_broadcast", lambda df: False)
+        for module in (updates_module, joins_module):
+            monkeypatch.setattr(module, "fits_broadcast", lambda *_: False)
     return request.param
 
 
@@ -34,6 +38,23 @@ def test_last_update_of_a_key_wins(base, updates, size):
     assert ("BroadcastHashJoin" in plan(result)) == (size == "broadcast")
 
 
+def test_updates_equal_a_sequence_of_single_updates(spark, size):
+    rng = random.Random(5)
+    accounts = [(n % 60 if n % 3 else 7, f"name {n}", "then") for n in range(300)] + [(None, "nobody", "then")]
+    batch = [(rng.choice([7, None, *range(50, 90)]), n, rng.choice([None, "", f"new {n}"])) for n in range(200)]
+    expected = list(accounts)
+    for ssn, _, name in batch:
+        expected = [(s, name, "now") if ssn is not None and s == ssn else (s, old, at) for s, old, at in expected]
+    shuffled = rng.sample(batch, len(batch))
+    base = spark.createDataFrame(accounts, "SSN int, name string, LAST_UPDATED string")
+    updates = spark.createDataFrame(shuffled, "SSN int, seq int, name string")
+    result = apply_updates(base, updates, columns=["name"], as_of=F.lit("now"))
+    assert sorted(rows(result), key=str) == sorted(expected, key=str)
+    known = {s for s, _, _ in accounts if s is not None}
+    unmatched = [u for u in batch if u[0] not in known]
+    assert sorted(rows(unmatched_updates(base, updates)), key=str) == sorted(unmatched, key=str)
+
+
 def test_null_is_a_value(base, spark, size):
     updates = spark.createDataFrame([(1, 1, "x"), (1, 2, None)], "SSN int, seq int, name string")
     result = apply_updates(base, updates, columns=["name"], as_of=F.lit("now"))
