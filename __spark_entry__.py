@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # for a driver s
 
 from cardlens import functions as fn, operators as op, standins as st
 from cardlens.plans import insights, loading, reports
-from cardlens.schemas import CREDIT, CUSTOMER, TableSchema
+from cardlens.schemas import CREDIT, CUSTOMER, UPDATABLE, TableSchema
 from cardlens.session import shared_path
 from cardlens.sources import load_all, read_dataset, read_table, write_table
 
@@ -279,6 +279,28 @@ def update_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.update_conflicts(st.read(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
 
 
+@_query("""
+    SELECT CAST(c_custkey AS INTEGER) AS "SSN",
+           COALESCE(s_name, UPPER(SUBSTR(c_name, 1, 1)) || LOWER(SUBSTR(c_name, 2))) AS "FIRST_NAME",
+           CASE WHEN s_name IS NULL THEN 'City ' || CAST(c_nationkey AS VARCHAR) ELSE '' END AS "CUST_CITY",
+           COALESCE(s_nationkey, c_nationkey) AS "CUST_ZIP", s_name IS NOT NULL AS updated
+    FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
+def update_customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the customers, apply a batch of updates as a new version, and ask the moved view."""
+    root = shared_path(spark, "customers")
+    loaded = loading.load_tables(spark, {"customer": st.customer_as_raw_customer(spark, sf_dir)}, root)
+    given = {"FIRST_NAME": F.col("s_name"), "CUST_ZIP": F.col("s_nationkey")}
+    updates = st.read(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("SSN"), F.lit(1).alias("seq"),
+        *(given.get(c, F.lit("")).alias(c) for c in UPDATABLE),
+    )
+    as_of = F.lit("2026-01-01").cast("timestamp")
+    loading.update_customers(spark, loaded["customer"], updates, f"{root}/customer-2", as_of=as_of)
+    return spark.table(CUSTOMER.name).select(
+        "SSN", "FIRST_NAME", "CUST_CITY", "CUST_ZIP", (F.col("LAST_UPDATED") == as_of).alias("updated")
+    )
+
+
 # --- Reports ---
 
 
@@ -293,6 +315,14 @@ def transactions_by_zip_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.transactions_by_zip_month(credit, st.customer_as_customer(spark, sf_dir), "07", 1997, 3)
 
 
+@_query(_ORACLES["transactions_by_zip_month"])
+def transactions_by_zip_month_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report when the customers of a zip code are too many to broadcast."""
+    credit = st.orders_as_credit(spark, sf_dir, between=("1997-03-01", "1997-04-01"))
+    customer = st.customer_as_customer(spark, sf_dir)
+    return reports.transactions_by_zip_month(credit, customer, 7, 1997, 3, max_broadcast_bytes=-1)
+
+
 @_query(f"""
     SELECT o_orderpriority AS "TRANSACTION_TYPE", COUNT(*) AS "NUMBER_OF_TRANSACTIONS",
            {_money('o_totalprice')} AS "TOTAL_VALUE_OF_TRANSACTIONS"

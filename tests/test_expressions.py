@@ -1,4 +1,7 @@
+import datetime
+
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from cardlens.functions import (
@@ -65,10 +68,40 @@ def test_range_and_month_predicates_agree_with_their_partition_form(spark):
     keys = ["20171231", "20180101", "20180115", "20180131", "20180201", "20181231", None]
     plain = spark.createDataFrame([(k,) for k in keys], "TIMEID string")
     stored = plain.withColumn("ym", F.substring("TIMEID", 1, 6))
+    inferred = stored.withColumn("ym", F.col("ym").cast("int"))
     for bounds in [("20180101", "20180131"), ("201801", "20180201"), ("2018", "2019"), ("20180201", "20180101")]:
         expected = [(k,) for k in keys if k and bounds[0] <= k <= bounds[1]]
         assert rows(plain.where(in_range(plain, *bounds))) == expected
         assert rows(stored.where(in_range(stored, *bounds)).select("TIMEID")) == expected
+        assert rows(inferred.where(in_range(inferred, *bounds)).select("TIMEID")) == expected
     expected = [(k,) for k in keys if k and k[:6] == "201801"]
     assert rows(plain.where(in_month(plain, "201801"))) == expected
     assert rows(stored.where(in_month(stored, "201801")).select("TIMEID")) == expected
+
+
+digits = st.text(alphabet="0123456789", max_size=14)
+words = st.text(alphabet="abzÄé Zß'-9", max_size=12)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(digits, words), min_size=1, max_size=30))
+def test_text_expressions_equal_slicing(spark, pairs):
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, d string, w string")
+    got = df.select("i", format_phone(F.col("d")), cap_first(F.col("w")), full_address(F.col("w"), F.col("d")))
+    expected = [
+        (i, f"({d[:3]}){d[3:6]}-{d[6:]}", w[:1].upper() + w[1:], f"{w}, {d}") for i, (d, w) in enumerate(pairs)
+    ]
+    assert sorted(rows(got)) == expected
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.dates(datetime.date(1000, 1, 1)), min_size=1, max_size=30), st.booleans(), st.booleans())
+def test_date_keys_equal_strftime(spark, days, text, padded):
+    def part(n, width):
+        return str(n).zfill(width) if padded and text else str(n) if text else n
+
+    kind = "string" if text else "int"
+    data = [(part(d.year, 4), part(d.month, 2), part(d.day, 2)) for d in days]
+    df = spark.createDataFrame(data, f"y {kind}, m {kind}, d {kind}")
+    keys = [r[0] for r in df.select(date_key(F.col("y"), F.col("m"), F.col("d"))).collect()]
+    assert keys == [d.isoformat().replace("-", "") for d in days]
