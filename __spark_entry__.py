@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # for a driver s
 
 from cardlens import functions as fn, operators as op, standins as st
 from cardlens.plans import insights, loading, reports
-from cardlens.schemas import CREDIT, CUSTOMER, UPDATABLE, TableSchema
+from cardlens.schemas import CREDIT, CUSTOMER, LOAN_TABLE, UPDATABLE, TableSchema
 from cardlens.session import shared_path
 from cardlens.sources import load_all, read_dataset, read_table, write_table
 
@@ -227,6 +227,28 @@ def load_and_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(f"""
+    SELECT CAST(s_suppkey AS INTEGER) AS "BRANCH_CODE", COUNT(o_orderkey) AS "TOTAL_NUMBER_OF_TRANSACTIONS",
+           {_money('o_totalprice')} AS "TOTAL_VALUE_OF_TRANSACTIONS"
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN orders ON o_custkey % 100 = s_suppkey
+    WHERE n_name = 'NATION_15' GROUP BY s_suppkey""")
+def loaded_branch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branches and transactions from raw to typed tables, then the totals of a state's branches."""
+    raw = {"branch": st.supplier_as_raw_branch(spark, sf_dir), "credit": st.orders_as_raw_credit(spark, sf_dir)}
+    tables = loading.load_tables(spark, raw, shared_path(spark, "load"))
+    return reports.branch_totals(tables["branch"], tables["credit"], "NATION_15")
+
+
+@_query("""
+    SELECT CASE quality WHEN 1 THEN 'Y' ELSE 'N' END AS "Application_Status", COUNT(*) AS "COUNT",
+           CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM labels) AS share
+    FROM labels GROUP BY quality""")
+def loaded_loan_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan applications loaded with the columns they come with, then counted by status."""
+    loading.load_tables(spark, {"loan": st.labels_as_loan(spark, sf_dir)}, shared_path(spark, "load"))
+    return insights.status_counts(spark.table(LOAN_TABLE))
+
+
 @_query(f"""
     SELECT CAST(o_custkey AS VARCHAR) AS "CUST_CC_NO", {_money('o_totalprice')} AS "MONTHLY_BILL"
     FROM orders WHERE LEFT({_TIMEID}, 6) = '199703' GROUP BY o_custkey""")
