@@ -51,8 +51,10 @@ def shuffle_join(
 
     Without hot keys it is the plain join. With them, both sides get a salt, 0 but for hot keys: their
     rows are spread by a hash of ``spread_by`` (columns that tell rows apart, so that a retried task
-    salts them alike) and only their lookup rows are copied. The hint keeps Spark from broadcasting,
-    on the strength of its compressed size, a side that was measured to be large.
+    salts them alike) and only their lookup rows are copied. Exact copies of a row hash alike; a pile
+    of those is cut by adaptive execution, which splits a skewed partition of ``facts`` by map output.
+    The hint keeps Spark from broadcasting, on the strength of its compressed size, a side that was
+    measured to be large.
     """
     hot = hot_keys(facts, key)
     if not hot:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cardlens.functions import in_month, in_range, money_sum
-from cardlens.operators.joins import MAX_BROADCAST_BYTES, lookup_join
+from cardlens.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from cardlens.params import parse_card, parse_date_bound, parse_month, parse_ssn, parse_zip
 from cardlens.schemas import MONTH_COLUMN
 
@@ -54,16 +54,17 @@ def branch_totals(
     """Number and value of transactions of each branch in a state, branches without any included.
 
     Both sides are reduced to one row per branch before they meet, so the join neither grows nor skews
-    with a busy branch, and its shuffle is the aggregates' own. ``count_preserved`` counts the
-    branch's own row, which makes an empty branch 1 instead of 0.
+    with a busy branch, and its shuffle is the aggregates' own. If the state's branches are measured to
+    be few enough to broadcast, only their transactions are aggregated at all. ``count_preserved``
+    counts the branch's own row, which makes an empty branch 1 instead of 0.
     """
-    sites = (
-        branch.where(F.col("BRANCH_STATE") == state)
-        .groupBy("BRANCH_CODE").agg(F.count("BRANCH_CODE").alias("_rows"))
-    )
+    wanted = branch.where(F.col("BRANCH_STATE") == state).select("BRANCH_CODE")
+    sites = wanted.groupBy("BRANCH_CODE").agg(F.count("BRANCH_CODE").alias("_rows"))
+    made = credit.where(F.col("BRANCH_CODE").isNotNull())
+    if fits_broadcast(wanted):
+        made = made.join(F.broadcast(wanted), "BRANCH_CODE", "left_semi")
     activity = (
-        credit.where(F.col("BRANCH_CODE").isNotNull())
-        .groupBy("BRANCH_CODE")
+        made.groupBy("BRANCH_CODE")
         .agg(F.count("*").alias("_n"), money_sum(F.col("TRANSACTION_VALUE")).alias("_value"))
     )
     without = F.lit(1 if count_preserved else 0)

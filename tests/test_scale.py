@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from cardlens.operators import fits_broadcast, hot_keys, lookup_join, with_share, with_top_flag
+from cardlens.operators import fits_broadcast, hot_keys, lookup_join, shuffle_join, with_share, with_top_flag
 from cardlens.plans import insights, reports
 from conftest import plan, rows
 
@@ -75,6 +75,22 @@ def test_only_hot_lookup_rows_are_copied(facts, lookup):
     assert df.where("k = 1").count() == facts.where("k = 1").count()
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_exact_copies_are_split_while_running(spark, conf, how):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1000")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1000")
+    one = F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id"))
+    facts = spark.range(0, 400_000, 1, 8).select(one.alias("k"), F.when(F.col("id") % 2 == 1, F.col("id")).alias("v"))
+    lookup = spark.range(1, 400_000, 3).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    df = shuffle_join(facts, lookup, "k", facts.columns, how)
+    plain = facts.join(lookup, "k", how).groupBy((F.col("k") == 7).alias("hot")).count()
+    df.collect()
+    assert "skew=true" in plan(df, "simple")
+    assert set(rows(df.groupBy((F.col("k") == 7).alias("hot")).count())) == set(rows(plain))
+
+
 def test_lookup_join_measures_before_it_broadcasts(facts, lookup, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert "BroadcastHashJoin" in plan(lookup_join(facts, lookup, "k", ["id"]))
@@ -98,13 +114,18 @@ def test_month_report_without_broadcast_salts_and_sorts_by_a_total_order(credit,
     assert "rangepartitioning(TIMEID" in text and "TRANSACTION_ID" in text.split("rangepartitioning")[1][:80]
 
 
-def test_branch_totals_aggregates_before_it_joins(branch, credit, conf):
+@pytest.mark.parametrize("few", [True, False])
+def test_branch_totals_aggregates_before_it_joins(branch, credit, conf, monkeypatch, few):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(reports, "fits_broadcast", lambda df: few)
     typed = credit.withColumn("BRANCH_CODE", F.col("BRANCH_CODE").cast("int"))
-    text = plan(reports.branch_totals(branch, typed, "NY"), "simple")
+    df = reports.branch_totals(branch, typed, "NY")
+    text = plan(df, "simple")
     join = text.index("SortMergeJoin")
     assert text.index("HashAggregate", join) < text.index("Exchange", join)
     assert text.count("Exchange hashpartitioning") == 2
+    assert ("LeftSemi, BuildRight" in text) == few
+    assert sorted(rows(df)) == [(7, 0, None), (114, 3, 195.33)]
 
 
 def test_top_k_keeps_k_rows_per_task(credit):
