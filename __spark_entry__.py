@@ -40,12 +40,37 @@ def entry(spark: SparkSession) -> DataFrame:
     return branch_totals(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
+    """The queries defined in this file."""
     return dict(_QUERIES)
 
 
+def queries() -> dict[str, Query]:
+    return _QUERIES | _llm()[0]
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _llm()[1]
+
+
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators and of their pipeline, where these are there."""
+    found: dict[str, Query] = {}
+    sql: dict[str, str] = {}
+    try:
+        from cardlens.llm.queries import ORACLES, QUERIES
+
+        found |= QUERIES
+        sql |= ORACLES
+        from corpus_pipeline import ORACLE_SQL, run
+
+        found["pipeline"] = run
+        if ORACLE_SQL:
+            sql["pipeline"] = ORACLE_SQL
+    except ModuleNotFoundError as error:
+        if error.name not in ("cardlens.llm", "cardlens.llm.queries", "corpus_pipeline"):
+            raise
+    return found, sql
 
 
 # --- SQL fragments for the comparison ---

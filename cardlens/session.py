@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def builder(app_name: str = "cardlens") -> SparkSession.Builder:
@@ -22,13 +22,13 @@ def builder(app_name: str = "cardlens") -> SparkSession.Builder:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """A fresh path in a folder every executor can reach.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    That is the folder named by ``spark.checkpoint.dir``, or, where it is unset, ``scratch`` below the
+    warehouse, which every session has and which lies on shared storage on a cluster. What is written
+    there belongs to the caller; nothing here deletes it.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cardlens-")
+        root = f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -142,7 +142,7 @@ def test_shares_and_leaders_use_no_single_task_window(credit):
         assert "ReusedExchange" in text
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(entry_points.library_queries()))
 def test_every_query_stays_in_spark(spark, name):
     text = plan(entry_points.queries()[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow", "Window"):

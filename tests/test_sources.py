@@ -83,16 +83,15 @@ def test_shared_path_is_fresh_and_in_the_checkpoint_folder(spark):
     assert first.startswith(spark.conf.get(CHECKPOINT_DIR))
 
 
-def test_shared_path_refuses_a_local_folder_on_a_cluster():
+def test_shared_path_without_a_checkpoint_folder_is_in_the_warehouse():
     class Conf:
         def get(self, name, default=None):
-            return {"spark.master": "yarn"}.get(name, default)
+            return {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}.get(name, default)
 
     class Session:
         conf = Conf()
 
-    with pytest.raises(ValueError, match=CHECKPOINT_DIR):
-        shared_path(Session(), "x")
+    assert shared_path(Session(), "x").startswith("hdfs://store/warehouse/scratch/x-")
 
 
 def test_table_schemas():
