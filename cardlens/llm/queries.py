@@ -8,7 +8,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlens.llm import byte_bpe, sharding, token_files
+from cardlens.llm import byte_bpe, chat, sharding, simhash, token_files, warc
 from cardlens.session import shared_path
 
 
@@ -57,5 +57,44 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_token_files, op2_byte_bpe, op3_shards)}
-ORACLES: dict[str, str] = {}
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the components of those that differ in at most 4 bits."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted and read back."""
+    path = shared_path(spark, "chat")
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string"
+    )
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    chat.format_conversations(given).write.parquet(path)
+    return chat.read_conversations(spark.read.parquet(path))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive of all pages, read back."""
+    path = shared_path(spark, "archive")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path, least=1000)
+    return warc.read_archive(spark, path).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type",
+        "refers_to",
+    )
+
+
+QUERIES = {
+    q.__name__: q for q in (op1_token_files, op2_byte_bpe, op3_shards, op4_simhash, op7_chat, op10_warc)
+}
+ORACLES = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, ENCODE(COALESCE(html, '')) AS payload FROM pages),
+             d AS (SELECT page_id, CAST(OCTET_LENGTH(payload) AS BIGINT) AS payload_bytes, SHA1(payload) AS payload_digest FROM p),
+             o AS (SELECT payload_digest, payload_bytes, MAX(page_id) AS owner FROM d GROUP BY ALL)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes < 1000 OR page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN payload_bytes < 1000 OR page_id = owner THEN NULL ELSE owner END AS refers_to
+        FROM d JOIN o USING (payload_digest, payload_bytes)""",
+}

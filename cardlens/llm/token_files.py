@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardlens.llm.common import slices, unused
 
 _MANIFEST = "part int, file string, documents long, ids long, first_document long, first_id long, width int"
+_SIGNS = (",", ".", "!", "?", ";", ":")
 # Stands for a null document id in a ``.docs`` file.
 NO_ID = -(2**63)
 
@@ -31,7 +32,9 @@ class WordEncoder:
     """Encodes texts with a tokenizer that never joins text across a space or a line feed and drops both.
 
     Such a text's ids are those of its words in a row, so each word is encoded once and remembered, up to
-    ``limit`` words.
+    ``limit`` words. If the tokenizer also keeps a run of letters as it is but for its case and parts it from
+    a sign behind it, which is tried out on a probe, the letters and the sign are encoded on their own, and
+    plain ASCII letters go to the tokenizer's model at once.
     """
 
     def __init__(self, tokenizer: str, limit: int = 400_000):
@@ -42,17 +45,46 @@ class WordEncoder:
         self.vocabulary = self._tokenizer.get_vocab_size()
         self.width = 2 if self.vocabulary <= 1 << 16 else 4
         self._limit = limit
+        self._kind = f"<u{self.width}"
         self._known: dict[str, bytes] = {}
+        self._letters: dict[str, bytes] = {}
+        self._parts_letters = self._keeps_letters()
+
+    def _keeps_letters(self) -> bool:
+        normalizer, cutter = self._tokenizer.normalizer, self._tokenizer.pre_tokenizer
+        if normalizer is None or cutter is None or self._tokenizer.post_processor is not None:
+            return False
+        return normalizer.normalize_str("Azé.") == "azé." and all(
+            [p for p, _ in cutter.pre_tokenize_str(f"az{sign}")] == ["az", sign] for sign in _SIGNS
+        )
+
+    def _learn_letters(self, runs: set[str]) -> None:
+        if len(self._letters) > self._limit:
+            self._letters.clear()
+        new = runs - self._letters.keys()
+        plain = {r for r in new if r.isascii() and r.isalpha()}
+        tokenize = self._tokenizer.model.tokenize
+        for run in plain:
+            self._letters[run] = np.array([t.id for t in tokenize(run.lower())], self._kind).tobytes()
+        self._learn(list(new - plain), self._letters)
+
+    def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
+        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        known.update((w, np.array(e.ids, self._kind).tobytes()) for w, e in zip(words, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed."""
         if len(self._known) > self._limit:
             self._known.clear()
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*words) - self._known.keys())
-        found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        kind = f"<u{self.width}"
-        self._known.update((w, np.array(e.ids, kind).tobytes()) for w, e in zip(new, found))
+        new = set().union(*words) - self._known.keys()
+        if self._parts_letters:
+            cut = {w: (w, "") if w.isalpha() else (w[:-1], w[-1]) for w in new if w.isalpha() or w[-1:] in _SIGNS and w[:-1].isalpha()}
+            self._learn_letters({part for parts in cut.values() for part in parts if part})
+            self._letters[""] = b""
+            self._known.update((w, self._letters[a] + self._letters[b]) for w, (a, b) in cut.items())
+            new -= cut.keys()
+        self._learn(list(new), self._known)
         return [b"".join(map(self._known.__getitem__, w)) for w in words]
 
 
@@ -162,6 +194,8 @@ def read_token_files(spark: SparkSession, path: str, documents_per_task: int = 4
                         ["doc_id", "start", "ids"],
                     )
 
-    return runs.repartition("part", "begin").mapInArrow(run, schema)
+    # The rows of ``runs`` are few and small, but each stands for thousands of documents: deal them out.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return runs.repartition(tasks, "part", "begin").mapInArrow(run, schema)
 
 
