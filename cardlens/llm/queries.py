@@ -8,7 +8,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlens.llm import byte_bpe, chat, sharding, simhash, token_files, warc
+from cardlens.llm import byte_bpe, chat, decontaminate, quality, sharding, simhash, token_files, warc
 from cardlens.session import shared_path
 
 
@@ -63,6 +63,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold, exact or paraphrased."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one made of control strings, formatted and read back."""
     path = shared_path(spark, "chat")
@@ -75,6 +80,15 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(spark.read.parquet(path))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by a network trained on labels that are not held out."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.train(documents, _table(spark, sf_dir, "labels"))
+    return quality.add_score(documents, net).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An archive of all pages, read back."""
     path = shared_path(spark, "archive")
@@ -86,7 +100,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op1_token_files, op2_byte_bpe, op3_shards, op4_simhash, op7_chat, op10_warc)
+    q.__name__: q for q in (
+        op1_token_files, op2_byte_bpe, op3_shards, op4_simhash, op5_decontaminate, op7_chat, op8_quality, op10_warc,
+    )
 }
 ORACLES = {
     "op10_warc": """
