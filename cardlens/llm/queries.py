@@ -8,7 +8,9 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlens.llm import byte_bpe, chat, decontaminate, quality, sharding, simhash, token_files, warc
+from cardlens.llm import (
+    byte_bpe, chat, decontaminate, licences, neighbours, quality, sharding, simhash, token_files, warc,
+)
 from cardlens.session import shared_path
 
 
@@ -68,6 +70,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one made of control strings, formatted and read back."""
     path = shared_path(spark, "chat")
@@ -89,6 +96,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence notices that documents hold."""
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An archive of all pages, read back."""
     path = shared_path(spark, "archive")
@@ -101,7 +113,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     q.__name__: q for q in (
-        op1_token_files, op2_byte_bpe, op3_shards, op4_simhash, op5_decontaminate, op7_chat, op8_quality, op10_warc,
+        op1_token_files, op2_byte_bpe, op3_shards, op4_simhash, op5_decontaminate, op6_neighbours, op7_chat,
+        op8_quality, op9_licences, op10_warc,
     )
 }
 ORACLES = {
