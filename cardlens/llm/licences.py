@@ -86,7 +86,7 @@ class Templates:
         return math.ceil(n * t / (2 - t) - 1e-9), math.floor(n * (2 - t) / t + 1e-9)
 
     def find(self, text: str) -> Iterator[tuple[str, float, int, int]]:
-        """Name, coefficient and character span of the best stretch for each name that the text holds."""
+        """Name, coefficient and character span of each notice: the best match of stretches that overlap."""
         spans, start = [], 0
         for cut in [*_CUT.finditer(text), None]:
             end = cut.start() if cut else len(text)
@@ -96,7 +96,7 @@ class Templates:
         limits = [self.bounds(i) for i in range(len(self.grams))]
         longest = max((high for _, high in limits), default=0)
         vocabulary = {g for grams in self.grams for g in grams}
-        best: dict[str, tuple[float, int, int]] = {}
+        alike: list[tuple[float, int, int, str]] = []
         for i, (begin, _, first) in enumerate(sentences):
             if vocabulary.isdisjoint(zip(first, first[1:])):
                 continue  # a stretch that reaches the threshold does so too without such a sentence in front
@@ -109,20 +109,22 @@ class Templates:
                 for number, (low, high) in enumerate(limits):
                     if low <= len(grams) <= high:
                         value = dice(grams, self.grams[number])
-                        name = self.names[number]
-                        if value >= self.least and value > best.get(name, (0.0, 0, 0))[0]:
-                            best[name] = value, begin, end
-        for name in sorted(best):
-            yield name, *best[name]
+                        if value >= self.least:
+                            alike.append((-value, begin, end, self.names[number]))
+        taken: list[tuple[int, int]] = []
+        for value, begin, end, name in sorted(alike):
+            if all(end <= a or b <= begin for a, b in taken):
+                taken.append((begin, end))
+                yield name, -value, begin, end
 
 
 def scan(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, list[str]] | None = None, least: float = 0.8
 ) -> DataFrame:
-    """``doc_id``, ``licence``, ``dice``, ``begin`` and ``end`` of the best notice of each licence in each document.
+    """``doc_id``, ``licence``, ``dice``, ``begin`` and ``end`` of every notice in each document.
 
-    Of the licences that a stretch resembles at or above ``least``, each is reported: notices of two versions
-    differ in one word. Texts are scanned whole, those without a notice have no row, nor have null and empty
+    A notice is a stretch whose coefficient is ``least`` or more; of stretches that overlap, and of licences
+    that one stretch resembles, the best is reported (ties: the first stretch, then the first name). Texts are scanned whole, those without a notice have no row, nor have null and empty
     ones; rows that repeat a document are each reported. Other columns play no part.
     """
     schema = "doc_id long, licence string, dice double, begin long, end long"
