@@ -51,14 +51,14 @@ class Terms(dict):
     cut at white space, ``ids`` costs one look-up a word, whatever the normalisation costs.
     """
 
-    def __init__(self, number: Callable[[str], int], limit: int = 200_000):
+    def __init__(self, number: Callable[[str], int], limit: int = 400_000):
         super().__init__()
         self._number, self._limit = number, limit
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self._limit:
             self.clear()
-        value = b"".join(self._number(t).to_bytes(4, "little", signed=True) for t in _WORD.findall(word.lower()))
+        value = b"".join([self._number(t).to_bytes(4, "little") for t in _cut(word)])
         self[word] = value
         return value
 
@@ -66,6 +66,13 @@ class Terms(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+def _cut(word: str) -> list[str]:
+    low = word.lower()
+    if low.isalnum():
+        return [low]
+    return [low[:-1]] if low[-1] in ",.!?;:" and low[:-1].isalnum() else _WORD.findall(low)
+
+
 def terms(text: str) -> list[str]:
     """The normalised terms of a text, as ``Terms`` cuts them."""
-    return [t for word in text.split() for t in _WORD.findall(word.lower())]
+    return [t for word in text.split() for t in _cut(word)]

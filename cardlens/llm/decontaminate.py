@@ -168,8 +168,13 @@ class Index:
         length = n + max(4, n // 2)
         low, high = max(0, begin - n), min(len(ids), begin + 3 * BLOCK + n)
         found = None
+        # A subsequence cannot be longer than the part of the item that occurs at all.
+        if sum(map(set(ids[low:high + length].tolist()).__contains__, wanted)) < need * n:
+            return None
         for a in range(low, max(low + 1, high - n // 2), max(1, n // 4)):
             stretch = ids[a:a + length].tolist()
+            if sum(map(set(stretch).__contains__, wanted)) < need * n:
+                continue
             part = lcs(wanted, stretch) / n
             if part >= need and (found is None or part > found) and lcs(answer, stretch) >= need * len(answer):
                 found = part
