@@ -66,6 +66,17 @@ class Terms(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+_KNOWN: list[tuple[tuple, Terms]] = []  # the one this Python worker used last
+
+
+def known_terms(number: dict[str, int]) -> Terms:
+    """The ``Terms`` of a vocabulary (0: any other term), kept from task to task of a Python worker."""
+    key = len(number), hash(frozenset(number.items()))
+    if not _KNOWN or _KNOWN[0][0] != key:
+        _KNOWN[:] = [(key, Terms(lambda t: number.get(t, 0)))]
+    return _KNOWN[0][1]
+
+
 def _cut(word: str) -> list[str]:
     low = word.lower()
     if low.isalnum():

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cardlens.llm.common import Terms, slices, terms
+from cardlens.llm.common import Terms, known_terms, slices, terms
 
 PASSAGE = 32  # terms
 BLOCK = 16  # windows begin at every block; three blocks hold any passage whole
@@ -140,16 +140,28 @@ class Index:
         n = int(blocks.sum())
         held = np.bincount(block_of, self.mass[ids[hit]], n)
         owner = np.repeat(np.arange(len(texts)), blocks)
-        joins = [np.append(owner[k:] == owner[:-k], np.zeros(k, bool)) for k in (1, 2)]
-        window = held + sum(np.append(held[k:], np.zeros(k)) * j for k, j in zip((1, 2), joins))
-        for at in np.array_split(np.flatnonzero(window >= self.settings.mass * self.least_mass), max(1, n // 4096)):
-            yield from self._near(at, ids, hit, block_of, owner, first, starts, sizes)
-
-    def _near(self, at, ids, hit, block_of, owner, first, starts, sizes) -> Iterator[tuple[int, int, float, float]]:
-        if not len(at):
-            return
-        left, right = np.searchsorted(block_of, at), np.searchsorted(block_of, np.minimum(at + 3, first[owner[at]] + -(-sizes[owner[at]] // BLOCK)))
-        folded = np.stack([self.fold[ids[hit[a:b]]].sum(axis=0) for a, b in zip(left, right)])
+        joins = [np.append(owner[k:] == owner[:len(owner) - k], np.zeros(min(k, n), bool)) for k in (1, 2)]
+        window = held + sum(np.append(held[k:], np.zeros(min(k, n))) * j for k, j in zip((1, 2), joins))
+        wanted = window >= self.settings.mass * self.least_mass
+        bounds = np.searchsorted(block_of, np.arange(n + 3))
+        for i in range(0, n, 2048):
+            at = i + np.flatnonzero(wanted[i:i + 2048])
+            if len(at):
+                yield from self._near(at, i, ids, hit, bounds, joins, owner, first, starts, sizes)
+
+    def _near(self, at, base, ids, hit, bounds, joins, owner, first, starts, sizes) -> Iterator[tuple[int, int, float, float]]:
+        end = min(base + 2050, len(owner))
+        edges = bounds[base:end + 1]
+        # The terms of a block one after the other, of all blocks that have so many at once.
+        counts = np.diff(edges)
+        order = np.argsort(-counts, kind="stable")
+        begins, total = edges[:-1][order], np.zeros((len(order), self.fold.shape[1]), np.float32)
+        for j in range(counts.max(initial=0)):
+            more = int((counts > j).sum())
+            total[:more] += self.fold[ids[hit[begins[:more] + j]]]
+        sums = np.zeros((len(order) + 2, self.fold.shape[1]), np.float32)
+        sums[order] = total
+        folded = sums[at - base] + sums[at - base + 1] * joins[0][at, None] + sums[at - base + 2] * joins[1][at, None]
         cosine = folded @ self.latent.T / np.maximum(np.linalg.norm(folded, axis=1), 1e-12)[:, None]
         best: dict[tuple[int, int], tuple[float, float]] = {}
         for w, p in zip(*np.nonzero(cosine >= self.settings.cosine)):
@@ -186,7 +198,7 @@ def _frequencies(documents: DataFrame, text: str, number: dict[str, int]) -> tup
     vocabulary = documents.sparkSession.sparkContext.broadcast(number)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Terms(lambda t: vocabulary.value.get(t, 0))
+        known = known_terms(vocabulary.value)
         width = len(vocabulary.value) + 1
         total, count = np.zeros(width, np.int64), 0
         for batch in slices(batches, text, 1 << 20):
@@ -263,7 +275,7 @@ def find_leaks(
 
     def run_with(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = Terms(lambda t: shared.value.number.get(t, 0))
+            known = known_terms(shared.value.number)
             for batch in slices(batches, "text", 1 << 20):
                 ids = batch["doc_id"].to_pylist()
                 rows = [(ids[t], shared.value.item_ids[i], c, part) for (t, i), (c, part) in sorted(_best(shared.value, batch["text"], known).items())]
@@ -292,7 +304,7 @@ def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", s
 
     def run_with(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = Terms(lambda t: shared.value.number.get(t, 0))
+            known = known_terms(shared.value.number)
             for batch in slices(batches, text, 1 << 20):
                 leaked = {t for t, _ in _best(shared.value, batch[text], known)}
                 yield batch.take(pa.array([i for i in range(batch.num_rows) if i not in leaked], pa.int64()))

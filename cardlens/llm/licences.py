@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cardlens.llm.common import Terms, slices, terms
+from cardlens.llm.common import known_terms, slices, terms
 
 # The wording of common licence notices, by SPDX identifier.
 TEMPLATES: dict[str, list[str]] = {
@@ -124,8 +124,9 @@ def scan(
     """``doc_id``, ``licence``, ``dice``, ``begin`` and ``end`` of every notice in each document.
 
     A notice is a stretch whose coefficient is ``least`` or more; of stretches that overlap, and of licences
-    that one stretch resembles, the best is reported (ties: the first stretch, then the first name). Texts are scanned whole, those without a notice have no row, nor have null and empty
-    ones; rows that repeat a document are each reported. Other columns play no part.
+    that one stretch resembles, the best is reported (ties: the first stretch, then the first name). Texts are
+    scanned whole, those without a notice have no row, nor have null and empty ones; rows that repeat a
+    document are each reported. Other columns play no part.
     """
     schema = "doc_id long, licence string, dice double, begin long, end long"
     given = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -138,7 +139,7 @@ def scan(
         pairs = sorted({number[a] * width + number[b] for g in ready.grams for a, b in g})
         pairs = np.array(pairs or [-1])
         needed = min((ready.bounds(i)[0] for i in range(len(ready.grams))), default=0)
-        known = Terms(lambda t: number.get(t, 0))
+        known = known_terms(number)
         for batch in slices(batches, "text", 1 << 20):
             rows = []
             for doc, whole in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
