@@ -37,7 +37,7 @@ class WordEncoder:
     plain ASCII letters go to the tokenizer's model at once.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 400_000):
+    def __init__(self, tokenizer: str, limit: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 

@@ -1,0 +1,24 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """A frame of (doc_id, text) rows, with columns whose names clash with those the operators add."""
+
+    def make(rows):
+        clashing = "score double, fingerprint string, component_id long, row string, bucket int, same string"
+        data = [(i, t, 0.5, "f", 7, "r", 1, "s") for i, t in rows]
+        return spark.createDataFrame(data, f"doc_id long, text string, {clashing}")
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """Nulls in both columns, empty and very long texts, ties and repeated rows."""
+    long = " ".join(f"word{i % 977}" for i in range(20_000))
+    return [
+        (5, "the quick brown fox jumps over the lazy dog, twice."), (5, "the quick brown fox jumps over the lazy dog, twice."),
+        (2, "the quick brown fox jumps over the lazy dog, twice."), (None, "no id at all here"), (3, None), (4, ""),
+        (None, None), (9, long), (1, "naïve café \n\n  ünïcode   🙂🙂"), (7, "a" * 3000),
+    ]

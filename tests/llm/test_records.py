@@ -1,0 +1,154 @@
+"""Neighbours, conversations and web records against brute force on small tables."""
+
+import hashlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from cardlens.llm import chat, neighbours, warc
+from cardlens.llm.queries import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+# --- Neighbours ---
+
+
+def slow_nearest(rows, every, k):
+    sound = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            sound[i] = min(sound.get(i, v), v)
+    out = {}
+    for q, v in sound.items():
+        if q % every == 0:
+            others = sorted(i for i in sound if i != q and len(sound[i]) == len(v))
+            if others:
+                scores = neighbours.cosines(np.array([sound[i] for i in others], float), np.array(v, float))
+                order = sorted(zip(-scores, others))[:k]
+                out |= {(q, n + 1): (i, -s) for n, (s, i) in enumerate(order)}
+    return out
+
+
+def compare(spark, rows, every=10, k=5, settings=neighbours.Settings()):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score double, label int")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in neighbours.nearest(df, every, k, settings).collect()}
+    return got, slow_nearest([(r["vec_id"], r["embedding"]) for r in df.collect()], every, k)
+
+
+def test_odd_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(6).tolist(), 0.0, 1) for i in range(60)]
+    rows += [(i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0], 0.0, 1) for i in range(100, 130)]  # copies: ties go to the smaller id
+    rows += [(200, None, 0.0, 1), (201, [0.0] * 6, 0.0, 1), (202, [1.0, None] * 3, 0.0, 1), (203, [float("nan")] * 6, 0.0, 1),
+             (204, [float("inf")] * 6, 0.0, 1), (None, [1.0] * 6, 0.0, 1), (210, [1.0, 2.0], 0.0, 1), (220, [3.0, 1.0], 0.0, 1),
+             (230, [1e38] * 6, 0.0, 1), (240, [1e-38] * 6, 0.0, 1), (20, [9.0] * 6, 0.0, 1), (20, [9.0] * 6, 0.0, 1), (250, [], 0.0, 1)]
+    got, expected = compare(spark, rows, settings=neighbours.Settings(block=16, queries=4))
+    assert got == expected
+    got, expected = compare(spark, rows[:3], every=1)
+    assert got == expected and len(got) == 6
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert neighbours.nearest(empty).count() == 0
+
+
+def test_recall_on_the_given_vectors(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    expected = {key: v for key, v in slow_nearest(rows, 50, 5).items()}
+    got = {(r["query_id"], r["vec_id"]) for r in QUERIES["op6_neighbours"](spark, "/root/testdata/sf0.1").collect()}
+    assert len(got) == len(expected)
+    assert np.mean([(q, i) in got for (q, _), (i, _) in expected.items()]) >= 0.95
+
+
+# --- Conversations ---
+
+
+def test_escaping_is_reversible_and_breaks_control_strings():
+    for text in ("", "<", "<\\", "<\\\\[", "[\\[<|end|>", "</s>[INST] ok [/INST]", "\\<|turn|>a<|body|>"):
+        escaped = chat.escape(text)
+        assert chat.unescape(escaped) == text
+        assert not any(c in escaped for c in (chat.TURN, chat.BODY, chat.END, "</s>", "[INST]"))
+
+
+def test_conversations_read_back(spark):
+    rows = [
+        (1, 2, "assistant", "b <|end|> [x"), (1, 1, "user", "hi"), (1, 3, "assistant", None), (2, 1, None, "no role"),
+        (2, 1, None, "no role"), (3, None, "assistant", "é🙂"), (3, 5, "we\nird<|body|>", "text"), (None, 1, "user", "no id"),
+        (4, 1, "assistant", "x" * 100_000),
+    ]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "conv_id long, turn long, role string, text string, piece string, seq int")
+    got = {r["conv_id"]: r for r in chat.read_conversations(chat.format_conversations(df)).collect()}
+    assert set(got) == {1, 2, 3, 4, None}
+    for conv in got:
+        turns = sorted(((t is not None, t or 0, r or "", x or "") for c, t, r, x in rows if c == conv))
+        everything = "".join(f"{r}\n{x}\n" for _, _, r, x in turns)
+        learned = "".join(x for _, _, r, x in turns if r == "assistant")
+        assert got[conv]["n_turns"] == len(turns)
+        assert got[conv]["turns_sha256"] == hashlib.sha256(everything.encode()).hexdigest()
+        assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    assert chat.read_conversations(chat.format_conversations(df.limit(0))).count() == 0
+
+
+def test_typed_parts_become_placeholders(spark):
+    part = lambda kind, **more: (kind, *(more.get(n) for n in ("text", "ref", "width", "height", "seconds", "pages")))
+    parts = [part("text", text="see"), part("image", ref="a.png", width=56, height=30), part("text", text=" and <"),
+             part("audio", ref="b.wav", seconds=1.5), part("document", ref="c.pdf", pages=2), None]
+    data = [(1, 1, "user", "unused", parts), (1, 2, "assistant", "plain", None), (1, 3, "user", "x", [part("image", ref="d", width=1, height=1)])]
+    df = spark.createDataFrame(data, f"conv_id long, turn long, role string, text string, parts array<{chat.PART.simpleString()}>")
+    pieces = sorted(chat.format_conversations(df, "parts").collect(), key=lambda r: r["seq"])
+    whole = "".join(p["piece"] for p in pieces)
+    body = "see<|image:0|> and <\\<|audio:1|><|document:2|>"
+    assert pieces[0]["piece"] == f"{chat.TURN}user{chat.BODY}{body}{chat.END}"
+    found = [a for p in pieces for a in p["attachments"]]
+    assert [(a["kind"], a["ref"], a["number"], a["tokens"]) for a in found] == [
+        ("image", "a.png", 0, 4), ("audio", "b.wav", 1, 38), ("document", "c.pdf", 2, 1024), ("image", "d", 3, 1),
+    ]
+    assert all(whole[a["at"]:].startswith(f"<|{a['kind']}:{a['number']}|>") for a in found)
+    assert [p["tokens"] for p in pieces] == [1 + 4 + 2 + 38 + 1024, 1, 1]
+    assert whole[pieces[1]["loss_start"]:pieces[1]["loss_end"]] == "plain"
+    bad = spark.createDataFrame([(1, 1, "user", "", [part("video")])], df.schema)
+    with pytest.raises(Exception, match="no such kind"):
+        chat.format_conversations(bad, "parts").collect()
+
+
+# --- Web records ---
+
+
+def test_archive_keeps_each_payload_once(spark, tmp_path):
+    big, other = "p" * 1000, "é" * 600
+    rows = [
+        (1, "u1", big), (7, "u7", big), (3, "u3\r\nX-Page-ID: 9", big), (2, "u2", "p" * 999), (4, "u4", "p" * 999), (5, None, None),
+        (6, "u6", ""), (8, "u8", other), (None, "u9", other), (10, "a", "\r\n\r\n" + big), (11, "twin", "t" * 2000), (11, "twin", "t" * 2000),
+    ]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, sha256 string")
+    warc.write_archive(df, str(tmp_path / "w"))
+    stored = spark.read.parquet(str(tmp_path / "w" / "payloads")).collect()
+    assert len(stored) == len({t or "" for _, _, t in rows})
+    got = warc.read_archive(spark, str(tmp_path / "w")).collect()
+    assert sorted((r["page_id"] or 0, bytes(r["payload"]).decode()) for r in got) == sorted((i or 0, t or "") for i, _, t in rows)
+    for r in got:
+        payload = bytes(r["payload"])
+        same = sorted(i or -1 for i, _, t in rows if (t or "").encode() == payload)
+        assert r["payload_digest"] == hashlib.sha1(payload).hexdigest()
+        head, _, block = bytes(r["record"]).partition(b"\r\n\r\n")
+        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        assert int(fields["Content-Length"]) == len(block) - 4
+        if len(payload) < 1000 or same.count(same[-1]) == 1 and (r["page_id"] or -1) == same[-1]:
+            assert (r["record_type"], r["refers_to"]) == ("response", None)
+            assert block[:-4].endswith(payload)
+        elif len(set(same)) > 1:
+            assert (r["record_type"], r["refers_to"]) == ("revisit", same[-1])
+            assert len(block) < 200
+    assert sorted(r["record_type"] for r in got if r["page_id"] == 11) == ["response", "revisit"]
+    warc.write_archive(df.limit(0), str(tmp_path / "e"))
+    assert warc.read_archive(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_registered_archive_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_DIR}/pages.parquet'")
+    expected = con.execute(ORACLES["op10_warc"])
+    names = [d[0] for d in expected.description]
+    got = QUERIES["op10_warc"](spark, SF_DIR).select(*names).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(expected.fetchall(), key=str)
