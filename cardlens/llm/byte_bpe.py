@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from cardlens.llm.common import slices
+from cardlens.llm.common import kept, slices
 
 _NONE = 1 << 62  # no pair, or a pair that has no rank
 _POSITION_BITS = 40
@@ -159,7 +159,7 @@ class Encoder:
     unit is cut by the pattern from its start to its end. ``pattern`` must have that property.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 150_000):
         self.ranks = ranks
         # The white space of Unicode; the engine's own class also takes four control characters for it.
         self._find = regex.compile(
@@ -221,13 +221,9 @@ class Encoder:
         ]
 
 
-_ENCODERS: list[tuple[str, Encoder]] = []  # the one this Python worker used last, with what it remembers
-
-
 def _encoder(ranks: dict[bytes, int], pattern: str) -> Encoder:
-    if not _ENCODERS or _ENCODERS[0][0] != pattern or _ENCODERS[0][1].ranks != ranks:
-        _ENCODERS[:] = [(pattern, Encoder(ranks, pattern))]
-    return _ENCODERS[0][1]
+    key = "byte bpe", pattern, len(ranks), hash(frozenset(ranks.items()))
+    return kept(key, lambda: Encoder(ranks, pattern))
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "ids") -> DataFrame:

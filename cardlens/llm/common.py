@@ -51,7 +51,7 @@ class Terms(dict):
     cut at white space, ``ids`` costs one look-up a word, whatever the normalisation costs.
     """
 
-    def __init__(self, number: Callable[[str], int], limit: int = 400_000):
+    def __init__(self, number: Callable[[str], int], limit: int = 250_000):
         super().__init__()
         self._number, self._limit = number, limit
 
@@ -66,15 +66,21 @@ class Terms(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_KNOWN: list[tuple[tuple, Terms]] = []  # the one this Python worker used last
+_KEPT: list[tuple[object, object]] = []
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """``make()``, kept from task to task of a Python worker until something is asked for under another key:
+    a worker holds the memory of one operator at a time, however many it has served."""
+    if not _KEPT or _KEPT[0][0] != key:
+        _KEPT.clear()  # before the new one grows
+        _KEPT.append((key, make()))
+    return _KEPT[0][1]
 
 
 def known_terms(number: dict[str, int]) -> Terms:
-    """The ``Terms`` of a vocabulary (0: any other term), kept from task to task of a Python worker."""
-    key = len(number), hash(frozenset(number.items()))
-    if not _KNOWN or _KNOWN[0][0] != key:
-        _KNOWN[:] = [(key, Terms(lambda t: number.get(t, 0)))]
-    return _KNOWN[0][1]
+    """The ``Terms`` of a vocabulary (0: any other term), as ``kept`` keeps them."""
+    return kept(("terms", len(number), hash(frozenset(number.items()))), lambda: Terms(lambda t: number.get(t, 0)))
 
 
 def _cut(word: str) -> list[str]:

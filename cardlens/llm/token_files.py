@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlens.llm.common import slices, unused
+from cardlens.llm.common import kept, slices, unused
 
 _MANIFEST = "part int, file string, documents long, ids long, first_document long, first_id long, width int"
 _SIGNS = (",", ".", "!", "?", ";", ":")
@@ -88,13 +88,8 @@ class WordEncoder:
         return [b"".join(map(self._known.__getitem__, w)) for w in words]
 
 
-_ENCODERS: list[tuple[str, WordEncoder]] = []  # the one this Python worker used last, with what it remembers
-
-
 def _encoder(tokenizer: str) -> WordEncoder:
-    if not _ENCODERS or _ENCODERS[0][0] != tokenizer:
-        _ENCODERS[:] = [(tokenizer, WordEncoder(tokenizer))]
-    return _ENCODERS[0][1]
+    return kept(("words", tokenizer), lambda: WordEncoder(tokenizer))
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
