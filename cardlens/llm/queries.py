@@ -6,7 +6,7 @@ import zlib
 
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardlens.llm import (
     byte_bpe, chat, decontaminate, licences, neighbours, quality, sharding, simhash, token_files, warc,
@@ -18,7 +18,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _crc32(packed: pd.Series) -> pd.Series:
     return packed.map(zlib.crc32)
 

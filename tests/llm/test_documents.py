@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cardlens.llm import components, decontaminate, licences, quality, sharding, simhash
 from conftest import plan
+from odd import docs_of, odd_rows  # noqa: F401 (fixtures)
 
 SF_DIR = "/root/testdata/sf0.001"
 

@@ -10,6 +10,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from cardlens.llm import byte_bpe, token_files
+from odd import docs_of, odd_rows  # noqa: F401 (fixtures)
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
