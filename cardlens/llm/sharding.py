@@ -32,7 +32,8 @@ def shuffle_to(df: DataFrame, path: str, size: str, seed: int = 0, bucket_bytes:
     # The rows of a bucket lie in one task already, so this groups them without another shuffle.
     held = scattered.groupBy(bucket).agg(F.collect_list(F.struct(*(F.col(f"`{c}`") for c in df.columns))).alias(rows))
     shuffled = held.select(bucket, F.posexplode(F.shuffle(rows, seed)).alias(place, row))
-    shuffled.select(F.struct(bucket, place).alias("at"), F.struct(f"{row}.*").alias("row")).write.parquet(path)
+    at = F.struct(F.col(bucket).alias("bucket"), F.col(place).alias("place"))
+    shuffled.select(at.alias("at"), F.col(row).alias("row")).write.parquet(path)
     return totals["n"]
 
 
