@@ -6,24 +6,50 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-# Below this size a double still tells millionths apart.
-_EXACT_BELOW = 1e9
+# Values are split into millionths (below 1), units (below _BASE) and two limbs above, each below _BASE in
+# size, so that 10^12 rows of a limb stay inside a long.
+_BASE = 2.0**20
+# Whole numbers from here on no longer fit the four parts.
+_RANGE = 2.0**60
+
+
+def money_total(value: Column) -> Column:
+    """``SUM(value)`` to the millionth as a DECIMAL(38,6), whatever the order of the rows.
+
+    One rule holds for every finite value below 2^60 (about 1.15e18) in size: it counts to the nearest
+    millionth, halves away from zero. Its parts are summed as longs, which stay inside generated code, and
+    put together once per group; up to 10^12 rows a group no part can overflow. A finite value beyond that
+    range is an error. Nulls, NaN and infinities are passed over here; see ``money_sum``.
+    """
+    finite = F.abs(value) < float("inf")  # false for NaN, which is larger than any number
+    size = F.abs(value)
+    # Adding the half before cutting would change the units of a value that has no millionths left.
+    units = F.floor(size).cast("double")
+    parts = F.floor((size - units) * 1e6 + 0.5)
+    high = F.floor(units / (_BASE * _BASE)).cast("double")
+    middle = F.floor((units - high * (_BASE * _BASE)) / _BASE).cast("double")
+    low = units - high * (_BASE * _BASE) - middle * _BASE
+    sign = F.when(value < 0, -1).otherwise(1)
+    beyond = F.raise_error(F.concat(F.lit("money out of range: "), value.cast("string")))
+
+    def limb(part: Column) -> Column:
+        kept = F.when(finite & (size < _RANGE), sign * part.cast("long")).when(finite, beyond.cast("long"))
+        return F.sum(kept).cast("decimal(38,0)")
+
+    def times(part: Column, factor: str) -> Column:
+        return (part * F.lit(Decimal(factor))).cast("decimal(38,6)")
+
+    base = int(_BASE)
+    return (
+        times(limb(high), str(base * base)) + times(limb(middle), str(base)) + times(limb(low), "1")
+        + times(limb(parts), "0.000001")
+    ).cast("decimal(38,6)")
 
 
 def money_sum(value: Column) -> Column:
-    """``ROUND(SUM(value), 2)`` that does not depend on the order in which rows arrive.
+    """``ROUND(SUM(value), 2)`` as a DOUBLE, exact to the cent before it becomes one; see ``money_total``.
 
-    A plain double sum drifts by cents once totals are large, and differently after each retry. A
-    decimal sum is exact but several times slower. Whole units and millionths are therefore summed as
-    two longs, which stay inside generated code, and put together as a decimal once per group. Single
-    values of a billion or more, infinities and NaN are summed as doubles and added to that.
+    With a NaN, or infinities of both signs, the sum is NaN; with an infinity it is that infinity.
     """
-    plain = F.abs(value) < _EXACT_BELOW
-    units = F.sum(F.when(plain, F.floor(value)))
-    millionths = F.sum(F.when(plain, F.floor((value - F.floor(value)) * 1e6 + 0.5)))
-    large = F.sum(F.when(~plain, value))
-    exact = units.cast("decimal(26,6)") + (
-        millionths.cast("decimal(25,0)") * F.lit(Decimal("0.000001"))
-    )
-    mixed = F.coalesce(exact.cast("double"), F.lit(0.0)) + large
-    return F.when(large.isNull(), F.round(exact, 2).cast("double")).otherwise(F.round(mixed, 2))
+    odd = F.sum(F.when(~(F.abs(value) < float("inf")), value))
+    return F.when(odd.isNull(), F.round(money_total(value), 2).cast("double")).otherwise(odd)

@@ -7,33 +7,41 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cardlens.schemas import TableSchema
+from cardlens.schemas import CORRUPT, TableSchema
 
 # The range of an INTEGER.
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
-def _typed(df: DataFrame, table: TableSchema, column: str) -> Column:
-    """The column in its declared type, null where it does not fit."""
+def typed_value(df: DataFrame, table: TableSchema, column: str) -> Column:
+    """The column in its declared type, null where it does not fit. A number with a fraction does not fit
+    an INTEGER."""
     value, wanted = F.col(column), table.spark_type(column)
-    if wanted == "integer" and isinstance(df.schema[column].dataType, T.NumericType):
+    kind = df.schema[column].dataType
+    if wanted == "integer" and isinstance(kind, T.NumericType):
         # try_cast answers an overflow through an exception for each row; a range test is cheap.
-        return F.when(value.between(_INT_MIN, _INT_MAX), value).cast("int")
+        fits = value.between(_INT_MIN, _INT_MAX)
+        if isinstance(kind, T.FractionalType):
+            fits = fits & (value == F.floor(value))
+        return F.when(fits, value).cast("int")
+    if wanted == "integer" and isinstance(kind, T.StringType):
+        return F.when(~value.rlike(r"\.0*[1-9]"), value.try_cast("decimal(38,6)")).try_cast("int")
     return value.try_cast(wanted)
 
 
 def _lost_in_cast(df: DataFrame, table: TableSchema, column: str) -> Column:
-    return F.col(column).isNotNull() & _typed(df, table, column).isNull()
+    return F.col(column).isNotNull() & typed_value(df, table, column).isNull()
 
 
 def apply_schema(df: DataFrame, table: TableSchema) -> DataFrame:
     """The table's columns in its order and types. A value that does not fit becomes null under both
     ANSI settings; ``cast_violations`` and ``violation_counts`` tell which and how many."""
-    return df.select(*(_typed(df, table, c).alias(c) for c in table.columns))
+    return df.select(*(typed_value(df, table, c).alias(c) for c in table.columns))
 
 
 def violation_counts(df: DataFrame, table: TableSchema) -> list[Column]:
-    """Aggregates that count, per column, values lost in the cast and strings over the limit.
+    """Aggregates that count, per column, values lost in the cast and strings over the limit, and, if the
+    frame has a column of unreadable records, those.
 
     Meant for ``DataFrame.observe``, which fills them in while the table is being written.
     """
@@ -46,6 +54,8 @@ def violation_counts(df: DataFrame, table: TableSchema) -> list[Column]:
         F.count_if(F.length(F.col(c).cast("string")) > limit).alias(f"length:{c}")
         for c, limit in table.limited.items()
     ]
+    if CORRUPT in df.columns:
+        counts.append(F.count_if(F.col(CORRUPT).isNotNull()).alias("unreadable"))
     return counts
 
 
@@ -78,6 +88,22 @@ def length_violations(df: DataFrame, limits: dict[str, int], row_id: list[str])
     return df.select(*row_id, F.inline(F.array_compact(F.array(*found))))
 
 
+def value_violations(df: DataFrame, table: TableSchema, row_id: list[str]) -> DataFrame:
+    """One row per value of the table's columns present in ``df`` that breaks a rule: row id, column, value,
+    rule (``type`` or ``length``)."""
+    found = []
+    for column in (c for c in table.columns if c in df.columns):
+        text = F.col(column).cast("string")
+        if table.spark_type(column) != "string":
+            broken = F.when(_lost_in_cast(df, table, column), "type")
+        else:
+            broken = F.when(F.length(text) > table.max_length(column), "length")
+        found.append(
+            F.when(broken.isNotNull(), F.struct(F.lit(column).alias("column"), text.alias("value"), broken.alias("rule")))
+        )
+    return df.select(*row_id, F.inline(F.array_compact(F.array(*found))))
+
+
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that are not unique or hold a null, with their number of rows.
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlens.operators.joins import fits_broadcast, lookup_join, shuffle_join
-from cardlens.operators.quality import key_violations
-from cardlens.schemas import UPDATABLE
+from cardlens.operators.quality import key_violations, value_violations
+from cardlens.schemas import CUSTOMER, UPDATABLE, TableSchema
 
 
 def update_conflicts(updates: DataFrame, key: str, seq: str) -> DataFrame:
@@ -16,6 +16,14 @@ def update_conflicts(updates: DataFrame, key: str, seq: str) -> DataFrame:
     return key_violations(updates, [key, seq])
 
 
+def update_violations(
+    updates: DataFrame, key: str = "SSN", columns: Sequence[str] = UPDATABLE, table: TableSchema = CUSTOMER
+) -> DataFrame:
+    """One row per new value that does not fit the table's type or is too long: key, column, value, rule."""
+    rules = TableSchema(table.name, {c: table.columns[c] for c in columns})
+    return value_violations(updates, rules, [key])
+
+
 def apply_updates(
     df: DataFrame,
     updates: DataFrame,
@@ -28,13 +36,21 @@ def apply_updates(
     """The table with the last update of each key applied and the stamp column set to ``as_of``.
 
     The key alone decides a match: nulls and empty strings among the new values are stored. ``key``
-    is the table's primary key; should it repeat after all, every row of it is updated. Updates are
-    reduced to one per key before and after their shuffle, so any number may address the same key. A
-    batch measured to be small is broadcast and the table keeps its place; a larger one meets the
+    is the table's primary key; should it repeat after all, every row of it is updated. Two updates of a
+    key with the same sequence number, or one without, fail the query when it runs, as does a value that
+    cannot be cast to its column; ``update_violations`` lists those beforehand. Updates are reduced to one
+    per key before and after their shuffle, so any number may address the same key. A batch measured (by a
+    job that runs at once) to be small is broadcast and the table keeps its place; a larger one meets the
     table in a ``shuffle_join``.
     """
     batch = updates.select(key, seq, *columns).where(F.col(key).isNotNull())
-    latest = batch.groupBy(key).agg(F.max(F.struct(seq, *columns)).alias("_update"))
+    # One row a (key, seq) first: it tells ties, and leaves less to compare.
+    turns = batch.groupBy(key, seq).agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in columns))
+    tie = F.concat(F.lit("updates without an order: "), F.lit(key), F.lit(" "), F.col(key).cast("string"))
+    ordered = F.when((F.col("_n") == 1) & F.col(seq).isNotNull(), F.col(seq)).otherwise(
+        F.raise_error(tie).cast(updates.schema[seq].dataType)
+    )
+    latest = turns.groupBy(key).agg(F.max(F.struct(ordered.alias(seq), *columns)).alias("_update"))
     if fits_broadcast(batch):
         joined = df.join(F.broadcast(latest), key, "left")
     else:
@@ -44,7 +60,9 @@ def apply_updates(
 
     def value(name: str) -> Column:
         if name in columns:
-            new = F.col(f"_update.{name}").cast(df.schema[name].dataType)
+            given, kind = F.col(f"_update.{name}"), df.schema[name].dataType
+            lost = F.raise_error(F.concat(F.lit(f"{name} cannot be "), given.cast("string"))).cast(kind)
+            new = F.when(given.isNull() | given.try_cast(kind).isNotNull(), given.try_cast(kind)).otherwise(lost)
         elif name == stamp:
             new = stamped.cast(df.schema[name].dataType)
         else:

@@ -52,6 +52,7 @@ def rejected_by(loan: DataFrame, column: str = "Married", where: Column | None =
     return count_by(loan, column, where=rejected if where is None else rejected & where)
 
 
+# Fixed values, here and in ``rejection_slice``: the names of the slices.
 def approval_slice() -> Column:
     """Approved others / approved self-employed / not approved; null where an answer is missing."""
     status, employed = F.col("Application_Status"), F.col("Self_Employed")

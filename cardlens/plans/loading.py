@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from cardlens.operators.clean import clean
 from cardlens.operators.quality import apply_schema, key_violations, violation_counts
-from cardlens.operators.updates import apply_updates, unmatched_updates, update_conflicts
+from cardlens.operators.updates import apply_updates, unmatched_updates, update_conflicts, update_violations
 from cardlens.schemas import CUSTOMER, LOAN_TABLE, TABLES
 from cardlens.sources.tables import read_table, register, write_table
 
@@ -17,7 +17,8 @@ _CLUSTER_BY = {"credit": ("CUST_CC_NO", "TIMEID"), "customer": ("SSN",)}
 
 
 class LoadRejected(ValueError):
-    """Rows break the table's types, lengths or key. A version already written stays unregistered."""
+    """Rows break the table's types, lengths or key, or cannot be read. What was written below the path stays
+    there, unregistered; give the next attempt another path, or remove it."""
 
 
 def _require_unique(df: DataFrame, keys: tuple[str, ...], what: str) -> None:
@@ -66,10 +67,14 @@ def update_customers(
     """Apply a batch of account updates; return the new table and the updates that matched nobody.
 
     The result is written beside the version it is read from, and the view then moves to it. Updates
-    whose order is not defined are refused.
+    whose order is not defined, or whose values break a type or a length, are refused before anything is
+    written; ``update_violations`` lists the latter.
     """
     if not update_conflicts(updates, "SSN", seq).isEmpty():
         raise LoadRejected(f"updates: the same SSN and {seq} occur more than once, or are null")
+    broken = update_violations(updates).groupBy("column", "rule").count().collect()  # a row a column at most
+    if broken:
+        raise LoadRejected(f"updates: {sorted((r['column'], r['rule'], r['count']) for r in broken)}")
     write_table(apply_updates(customer, updates, seq=seq, as_of=as_of), path, None, _CLUSTER_BY["customer"])
     current = read_table(spark, path, CUSTOMER)
     register(spark, {CUSTOMER.name: current})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cardlens.functions import in_month, in_range, money_sum
+from cardlens.functions import in_month, in_range, money_sum, money_total
 from cardlens.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from cardlens.params import parse_card, parse_date_bound, parse_month, parse_ssn, parse_zip
 from cardlens.schemas import MONTH_COLUMN
@@ -65,13 +65,13 @@ def branch_totals(
         made = made.join(F.broadcast(wanted), "BRANCH_CODE", "left_semi")
     activity = (
         made.groupBy("BRANCH_CODE")
-        .agg(F.count("*").alias("_n"), money_sum(F.col("TRANSACTION_VALUE")).alias("_value"))
+        .agg(F.count("*").alias("_n"), money_total(F.col("TRANSACTION_VALUE")).alias("_value"))
     )
     without = F.lit(1 if count_preserved else 0)
     return sites.join(activity, "BRANCH_CODE", "left").select(
         "BRANCH_CODE",
         (F.col("_rows") * F.coalesce("_n", without)).alias("TOTAL_NUMBER_OF_TRANSACTIONS"),
-        F.round(F.col("_rows") * F.col("_value"), 2).alias("TOTAL_VALUE_OF_TRANSACTIONS"),
+        F.round(F.col("_rows").cast("decimal(18,0)") * F.col("_value"), 2).cast("double").alias("TOTAL_VALUE_OF_TRANSACTIONS"),
     )
 
 

@@ -12,6 +12,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 _STR, _LONG, _DBL = T.StringType(), T.LongType(), T.DoubleType()
+# The column a raw dataset carries for records that cannot be read.
+CORRUPT = "_corrupt_record"
 
 # Inputs whose JSON may hold either a number or a string (YEAR, phones, apartment numbers, ...) are
 # declared as strings: Spark's JSON reader hands over the number's text, so both spellings load.

@@ -70,4 +70,6 @@ def write_jdbc(
     settings |= {"batchsize": str(options.batch_size), "numPartitions": str(num_partitions)}
     if isinstance(table, TableSchema):
         settings["createTableColumnTypes"] = table.jdbc_types()
+    # Spark would bring the rows into so many tasks by coalesce, which runs all that is before in them too.
+    df = df.repartition(num_partitions)
     df.write.format("jdbc").mode(mode).options(**settings).save()

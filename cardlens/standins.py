@@ -6,16 +6,12 @@ does not use.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardlens.functions import date_key
 
 
-@lru_cache(maxsize=64)
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table, opened once per session: only its schema and file list are kept, no rows."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

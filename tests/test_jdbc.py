@@ -36,6 +36,10 @@ class Recorder:
     def load(self):
         return self
 
+    def repartition(self, n):
+        self.tasks = n
+        return self
+
     def save(self):
         return None
 
@@ -80,7 +84,7 @@ def test_write(mode):
     df = Recorder()
     write_jdbc(df, OPTIONS, CUSTOMER, mode=mode)
     call = df.calls[0]
-    assert (call["dbtable"], call["mode"]) == (CUSTOMER.name, mode)
+    assert (call["dbtable"], call["mode"], df.tasks) == (CUSTOMER.name, mode, 16)
     assert "SSN INTEGER" in call["createTableColumnTypes"] and "CUST_EMAIL VARCHAR(50)" in call["createTableColumnTypes"]
 
 

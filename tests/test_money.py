@@ -1,5 +1,6 @@
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -41,5 +42,14 @@ def test_nulls_and_odd_values(spark, ansi):
     assert total(spark, [None, 1.5]) == 1.5
     assert str(total(spark, [1.0, float("nan")])) == "nan"
     assert total(spark, [1.0, float("inf")]) == float("inf")
-    assert total(spark, [1e300, 1e300]) == 2e300
     assert total(spark, [2.5e12, 0.25]) == 2.5e12 + 0.25
+    for order in ([1e16, 1e9 + 0.25, -1e16], [1e16, -1e16, 1e9 + 0.25]):
+        assert total(spark, order) == 1e9 + 0.25
+    with pytest.raises(Exception, match="out of range"):
+        total(spark, [1e300])
+
+
+def test_ten_billion_large_rows_neither_wrap_nor_raise(spark, ansi):
+    # Each limb of 10^10 rows near 1e9 stays below 10^10 * 2^20, and the whole is a decimal.
+    df = spark.range(1000).select(F.lit(2.0**59).alias("v"))
+    assert df.agg(money_sum(F.col("v"))).first()[0] == 1000 * 2.0**59

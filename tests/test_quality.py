@@ -47,3 +47,10 @@ def test_key_violations(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
     assert set(rows(key_violations(df, ["k"]))) == {(1, 2), (None, 1)}
     assert set(rows(key_violations(df, ["k", "v"]))) == {(None, "d", 1)}
+
+
+def test_a_fraction_does_not_fit_an_integer(spark, ansi):
+    table = TableSchema("t", {"a": "INTEGER", "b": "INTEGER"})
+    df = spark.createDataFrame([(1, 3.7, "3.7"), (2, 4.0, "4")], "id int, a double, b string")
+    assert rows(apply_schema(df, table)) == [(None, None), (4, 4)]
+    assert sorted(rows(cast_violations(df, table, ["id"]))) == [(1, "a", "3.7"), (1, "b", "3.7")]

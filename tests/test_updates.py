@@ -80,3 +80,21 @@ def test_account_columns(customer, spark):
     before = {r["SSN"]: r for r in customer.collect()}
     assert changed[123456100]["LAST_UPDATED"] > before[123456100]["LAST_UPDATED"]
     assert changed[123459988] == before[123459988]
+
+
+def test_ties_and_values_that_do_not_fit_are_refused(base, spark, size, ansi):
+    tied = spark.createDataFrame([(1, 1, "x"), (1, 1, "y")], "SSN int, seq int, name string")
+    with pytest.raises(Exception, match="without an order"):
+        apply_updates(base, tied, columns=["name"], as_of=F.lit("now")).collect()
+    typed = base.withColumn("name", F.lit(5))
+    bad = spark.createDataFrame([(1, 1, "n/a")], "SSN int, seq int, name string")
+    with pytest.raises(Exception, match="cannot be"):
+        apply_updates(typed, bad, columns=["name"], as_of=F.lit("now")).collect()
+
+
+def test_update_violations(spark):
+    from cardlens.operators import update_violations
+
+    df = spark.createDataFrame([(1, "x" * 51, "n/a"), (2, "ok", "07501")], "SSN int, FIRST_NAME string, CUST_ZIP string")
+    found = rows(update_violations(df, columns=["FIRST_NAME", "CUST_ZIP"]))
+    assert sorted(found) == [(1, "CUST_ZIP", "n/a", "type"), (1, "FIRST_NAME", "x" * 51, "length")]
