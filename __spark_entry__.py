@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # for a driver s
 
 from cardlens import functions as fn, operators as op, standins as st
 from cardlens.plans import insights, loading, reports
-from cardlens.schemas import CREDIT, CUSTOMER, LOAN_TABLE, UPDATABLE, TableSchema
+from cardlens.schemas import CORRUPT, CREDIT, CUSTOMER, LOAN_TABLE, UPDATABLE, TableSchema
 from cardlens.session import shared_path
 from cardlens.sources import load_all, read_dataset, read_table, write_table
 
@@ -175,12 +175,46 @@ def clean_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.clean("customer", st.customer_as_raw_customer(spark, sf_dir))
 
 
+def _credit_values(df: DataFrame) -> DataFrame:
+    """Transactions whose numbers are still text, with the types of the given tables."""
+    whole = {c: F.col(c).cast("long") for c in ("CUST_SSN", "BRANCH_CODE", "TRANSACTION_ID")}
+    typed = df.withColumns(whole | {"TRANSACTION_VALUE": F.col("TRANSACTION_VALUE").cast("double")})
+    return typed.drop(CORRUPT)
+
+
 @_query(_CREDIT_SQL)
 def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw credit dataset written as JSON lines, read back and cleaned."""
     path = shared_path(spark, "credit-json")
     st.orders_as_raw_credit(spark, sf_dir).write.json(path)
-    return op.clean("credit", read_dataset(spark, "credit", path))
+    return _credit_values(op.clean("credit", read_dataset(spark, "credit", path)))
+
+
+@_query(_CREDIT_SQL)
+def json_quoted_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the numbers of odd transactions in quotes."""
+    path = shared_path(spark, "quoted-json")
+    raw = st.orders_as_raw_credit(spark, sf_dir)
+    quoted = F.to_json(F.struct(*(F.col(c).cast("string").alias(c) for c in raw.columns)))
+    plain = F.to_json(F.struct(*raw.columns))
+    odd = F.col("TRANSACTION_ID") % 2 == 1
+    raw.select(F.when(odd, quoted).otherwise(plain).alias("value")).write.text(path)
+    return _credit_values(op.clean("credit", read_dataset(spark, "credit", path)))
+
+
+@_query("""
+    SELECT '{"TRANSACTION_ID": ' || CAST(o_orderkey AS VARCHAR) || ', broken' AS record,
+           CAST(0 AS INTEGER) AS values_read
+    FROM orders WHERE o_orderkey % 7 = 0""")
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broken lines among transactions written as JSON lines."""
+    path = shared_path(spark, "broken-json")
+    raw = st.orders_as_raw_credit(spark, sf_dir)
+    key = F.col("TRANSACTION_ID")
+    broken = F.concat(F.lit('{"TRANSACTION_ID": '), key.cast("string"), F.lit(", broken"))
+    line = F.when(key % 7 == 0, broken).otherwise(F.to_json(F.struct(*raw.columns)))
+    raw.select(line.alias("value")).write.text(path)
+    return op.unreadable(read_dataset(spark, "credit", path))
 
 
 @_query("""
@@ -188,11 +222,12 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE toxic WHEN 1 THEN 'Yes' ELSE 'No' END AS "Self_Employed"
     FROM labels""")
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loan dataset written as JSON arrays, one to a line, and read back."""
+    """The loan dataset written as JSON arrays of several elements, one to a line, and read back."""
     path = shared_path(spark, "loan-json")
-    st.labels_as_loan(spark, sf_dir).select(
-        F.to_json(F.array(F.struct("Application_Status", "Self_Employed"))).alias("value")
-    ).write.text(path)
+    block = F.floor(F.monotonically_increasing_id() / 20).alias("block")  # 20 rows at most
+    loans = st.labels_as_loan(spark, sf_dir).select("*", block)
+    arrays = loans.groupBy("block").agg(F.collect_list(F.struct("Application_Status", "Self_Employed")).alias("loans"))
+    arrays.select(F.to_json("loans").alias("value")).write.text(path)
     return read_dataset(spark, "loan", path)
 
 
@@ -220,6 +255,28 @@ def cast_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.cast_violations(st.read(spark, sf_dir, "orders").select("o_orderkey", wide), table, ["o_orderkey"])
 
 
+@_query("""
+    SELECT o_orderkey, 'TRANSACTION_ID' AS "column", CAST(CAST(o_orderkey * 0.25 AS DOUBLE) AS VARCHAR) AS "value"
+    FROM orders WHERE o_orderkey % 4 <> 0""")
+def fraction_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with a fraction do not fit an INTEGER."""
+    table = TableSchema("typed", {"TRANSACTION_ID": CREDIT.columns["TRANSACTION_ID"]})
+    quarter = (F.col("o_orderkey") * 0.25).alias("TRANSACTION_ID")
+    return op.cast_violations(st.read(spark, sf_dir, "orders").select("o_orderkey", quarter), table, ["o_orderkey"])
+
+
+_LARGE_SQL = "CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE (o_orderkey % 3 - 1) * 1e15 END"
+
+
+@_query(f"SELECT o_orderpriority, {_money(_LARGE_SQL)} AS total FROM orders GROUP BY o_orderpriority")
+def money_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of small amounts among very large ones of both signs."""
+    key = F.col("o_orderkey")
+    value = F.when(key % 2 == 0, F.col("o_totalprice")).otherwise((key % 3 - 1) * F.lit(1e15))
+    orders = st.read(spark, sf_dir, "orders")
+    return orders.groupBy("o_orderpriority").agg(fn.money_sum(value).alias("total"))
+
+
 @_query("""
     SELECT p_partkey, 'p_name' AS "column", CAST(LENGTH(p_name) AS INTEGER) AS "length",
            CAST(10 AS INTEGER) AS "limit"
@@ -319,6 +376,22 @@ def unmatched_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.unmatched_updates(customer, updates, "o_orderkey")
 
 
+@_query("""
+    SELECT c_custkey AS "SSN", 'FIRST_NAME' AS "column", REPEAT(c_name, 20) AS "value", 'length' AS "rule"
+    FROM customer WHERE c_custkey % 3 = 0 AND LENGTH(c_name) * 20 > 50
+    UNION ALL
+    SELECT c_custkey, 'CUST_ZIP', 'n/a', 'type' FROM customer WHERE c_custkey % 5 = 0""")
+def update_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New names that are too long and zip codes that are no numbers."""
+    key = F.col("c_custkey")
+    updates = st.read(spark, sf_dir, "customer").select(
+        key.alias("SSN"),
+        F.when(key % 3 == 0, F.repeat("c_name", F.lit(20))).otherwise("A").alias("FIRST_NAME"),
+        F.when(key % 5 == 0, "n/a").otherwise("07501").alias("CUST_ZIP"),
+    )
+    return op.update_violations(updates, columns=["FIRST_NAME", "CUST_ZIP"])
+
+
 @_query("""
     SELECT o_custkey, o_orderdate, COUNT(*) AS n FROM orders
     GROUP BY o_custkey, o_orderdate HAVING COUNT(*) > 1 OR o_custkey IS NULL OR o_orderdate IS NULL""")
@@ -401,6 +474,19 @@ def branch_totals_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.branch_totals(branch, st.lineitem_as_credit(spark, sf_dir), "AMERICA")
 
 
+@_query("""
+    SELECT s_suppkey AS "BRANCH_CODE", 2 * COUNT(l_orderkey) AS "TOTAL_NUMBER_OF_TRANSACTIONS",
+           CAST(ROUND(2 * SUM(CAST(l_extendedprice + 0.125 AS DECIMAL(28,6))), 2) AS DOUBLE)
+               AS "TOTAL_VALUE_OF_TRANSACTIONS"
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN lineitem ON l_suppkey = s_suppkey
+    WHERE n_name = 'NATION_15' GROUP BY s_suppkey""")
+def branch_totals_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branches listed twice, values with a third decimal."""
+    branch, credit = st.supplier_as_branch(spark, sf_dir), st.lineitem_as_credit(spark, sf_dir)
+    credit = credit.withColumn("TRANSACTION_VALUE", F.col("TRANSACTION_VALUE") + 0.125)
+    return reports.branch_totals(branch.unionAll(branch), credit, "NATION_15")
+
+
 def _documents_as_branch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents as branches in the state of their language, labels as transactions: many are empty."""
     branch = st.read(spark, sf_dir, "documents").select(

@@ -39,26 +39,38 @@ def apply_schema(df: DataFrame, table: TableSchema) -> DataFrame:
     return df.select(*(typed_value(df, table, c).alias(c) for c in table.columns))
 
 
-def violation_counts(df: DataFrame, table: TableSchema) -> list[Column]:
+def violation_counts(df: DataFrame, table: TableSchema | None) -> list[Column]:
     """Aggregates that count, per column, values lost in the cast and strings over the limit, and, if the
-    frame has a column of unreadable records, those.
+    frame has a column of unreadable records, those. Without a table only the latter.
 
     Meant for ``DataFrame.observe``, which fills them in while the table is being written.
     """
+    columns = table.columns if table else ()
     counts = [
         F.count_if(_lost_in_cast(df, table, c)).alias(f"cast:{c}")
-        for c in table.columns
+        for c in columns
         if table.spark_type(c) != "string"
     ]
     counts += [
         F.count_if(F.length(F.col(c).cast("string")) > limit).alias(f"length:{c}")
-        for c, limit in table.limited.items()
+        for c, limit in (table.limited.items() if table else ())
     ]
     if CORRUPT in df.columns:
         counts.append(F.count_if(F.col(CORRUPT).isNotNull()).alias("unreadable"))
     return counts
 
 
+def unreadable(df: DataFrame) -> DataFrame:
+    """The records of a raw dataset that could not be read, as text, with the number of their values that
+    could. A frame without a column of such records has none."""
+    if CORRUPT not in df.columns:
+        return df.sparkSession.createDataFrame([], "record string, values_read int")
+    # Spark refuses to read that column alone, so the count of the others is also what lets it be read.
+    others = F.array(*(F.col(c).isNotNull().cast("int") for c in df.columns if c != CORRUPT))
+    read = F.aggregate(others, F.lit(0), lambda total, one: total + one)
+    return df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"), read.alias("values_read"))
+
+
 def cast_violations(df: DataFrame, table: TableSchema, row_id: list[str]) -> DataFrame:
     """One row per value that ``apply_schema`` cannot represent: row id, column, value."""
     found = [

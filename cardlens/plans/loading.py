@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from cardlens.operators.clean import clean
 from cardlens.operators.quality import apply_schema, key_violations, violation_counts
 from cardlens.operators.updates import apply_updates, unmatched_updates, update_conflicts, update_violations
-from cardlens.schemas import CUSTOMER, LOAN_TABLE, TABLES
+from cardlens.schemas import CORRUPT, CUSTOMER, LOAN_TABLE, TABLES
 from cardlens.sources.tables import read_table, register, write_table
 
 # Sort inside the files of a table, by the column its look-ups filter on.
@@ -34,15 +34,18 @@ def load_table(spark: SparkSession, dataset: str, raw: DataFrame, path: str) ->
     """
     table = TABLES.get(dataset)
     cleaned = clean(dataset, raw)
-    if table is None:
-        write_table(cleaned, path)
-        return read_table(spark, path)
+    rules = violation_counts(cleaned, table)
     seen = Observation(f"load {dataset}")
-    typed = apply_schema(cleaned.observe(seen, *violation_counts(cleaned, table)), table)
-    write_table(typed, path, table.month_of, _CLUSTER_BY.get(dataset, ()))
-    broken = {rule: n for rule, n in seen.get.items() if n}
+    counted = cleaned.observe(seen, *rules) if rules else cleaned
+    if table is None:
+        write_table(counted.drop(CORRUPT), path)
+    else:
+        write_table(apply_schema(counted, table), path, table.month_of, _CLUSTER_BY.get(dataset, ()))
+    broken = {rule: n for rule, n in seen.get.items() if n} if rules else {}
     if broken:
-        raise LoadRejected(f"{dataset}: {broken}")
+        raise LoadRejected(f"{dataset}: {broken}; below {path}")
+    if table is None:
+        return read_table(spark, path)
     loaded = read_table(spark, path, table)
     _require_unique(loaded, table.primary_key, dataset)
     return loaded

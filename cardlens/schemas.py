@@ -11,25 +11,26 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-_STR, _LONG, _DBL = T.StringType(), T.LongType(), T.DoubleType()
+_STR = T.StringType()
 # The column a raw dataset carries for records that cannot be read.
 CORRUPT = "_corrupt_record"
+_BAD = {CORRUPT: _STR}
 
-# Inputs whose JSON may hold either a number or a string (YEAR, phones, apartment numbers, ...) are
-# declared as strings: Spark's JSON reader hands over the number's text, so both spellings load.
+# Every value is declared as a string: Spark's JSON reader hands over a number's text, so a number loads with
+# or without quotes, and one that fits no number is still there to be counted when it is cast.
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "branch": _struct(
-        BRANCH_CODE=_LONG, BRANCH_NAME=_STR, BRANCH_STREET=_STR, BRANCH_CITY=_STR, BRANCH_STATE=_STR,
-        BRANCH_ZIP=_LONG, BRANCH_PHONE=_STR, LAST_UPDATED=_STR,
+        BRANCH_CODE=_STR, BRANCH_NAME=_STR, BRANCH_STREET=_STR, BRANCH_CITY=_STR, BRANCH_STATE=_STR,
+        BRANCH_ZIP=_STR, BRANCH_PHONE=_STR, LAST_UPDATED=_STR, **_BAD,
     ),
     "credit": _struct(
-        CREDIT_CARD_NO=_STR, YEAR=_STR, MONTH=_STR, DAY=_STR, CUST_SSN=_LONG, BRANCH_CODE=_LONG,
-        TRANSACTION_TYPE=_STR, TRANSACTION_VALUE=_DBL, TRANSACTION_ID=_LONG,
+        CREDIT_CARD_NO=_STR, YEAR=_STR, MONTH=_STR, DAY=_STR, CUST_SSN=_STR, BRANCH_CODE=_STR,
+        TRANSACTION_TYPE=_STR, TRANSACTION_VALUE=_STR, TRANSACTION_ID=_STR, **_BAD,
     ),
     "customer": _struct(
-        SSN=_LONG, FIRST_NAME=_STR, MIDDLE_NAME=_STR, LAST_NAME=_STR, CREDIT_CARD_NO=_STR,
+        SSN=_STR, FIRST_NAME=_STR, MIDDLE_NAME=_STR, LAST_NAME=_STR, CREDIT_CARD_NO=_STR,
         STREET_NAME=_STR, APT_NO=_STR, CUST_CITY=_STR, CUST_STATE=_STR, CUST_COUNTRY=_STR,
-        CUST_ZIP=_STR, CUST_PHONE=_STR, CUST_EMAIL=_STR, LAST_UPDATED=_STR,
+        CUST_ZIP=_STR, CUST_PHONE=_STR, CUST_EMAIL=_STR, LAST_UPDATED=_STR, **_BAD,
     ),
 }
 # Loan applications are taken with all the columns they come with. These are the ones the insights use.

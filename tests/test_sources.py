@@ -4,8 +4,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from cardlens.operators import clean
-from cardlens.schemas import BRANCH, CREDIT, CUSTOMER, LOAN_SCHEMA, RAW_SCHEMAS
+from cardlens.operators import apply_schema, clean, unreadable
+from cardlens.plans.loading import LoadRejected, load_table
+from cardlens.schemas import BRANCH, CORRUPT, CREDIT, CUSTOMER, LOAN_SCHEMA, RAW_SCHEMAS
 from cardlens.session import CHECKPOINT_DIR, shared_path
 from cardlens.sources import load_all, read_dataset, read_table, register, write_table
 from conftest import rows
@@ -21,10 +22,29 @@ def test_json_lines_with_numbers_or_text(spark, tmp_path, ansi):
     (tmp_path / "credit.json").write_text("\n".join(json.dumps(x) for x in (LINE, text)))
     raw = read_dataset(spark, "credit", str(tmp_path / "credit.json"))
     assert raw.schema == RAW_SCHEMAS["credit"]
-    cleaned = rows(clean("credit", raw))
+    cleaned = rows(apply_schema(clean("credit", raw), CREDIT))
     assert cleaned[0] == cleaned[1] == ("42", "20180214", 1, 7, "Bills", 78.9, 1)
 
 
+def test_numbers_in_quotes_load_and_misfits_are_counted(spark, tmp_path, ansi):
+    lines = [{"BRANCH_CODE": "1", "BRANCH_ZIP": "07501"}, {"BRANCH_CODE": 2, "BRANCH_ZIP": 7502}, {"BRANCH_CODE": 3}]
+    (tmp_path / "branch.json").write_text("\n".join(map(json.dumps, lines)))
+    raw = read_dataset(spark, "branch", str(tmp_path / "branch.json"))
+    loaded = load_table(spark, "branch", raw, str(tmp_path / "good"))
+    assert sorted((r.BRANCH_CODE, r.BRANCH_ZIP) for r in loaded.collect()) == [(1, 7501), (2, 7502), (3, 99999)]
+    for i, bad in enumerate(('{"BRANCH_CODE": "x7"}', '{"BRANCH_CODE": 3, broken', '{"BRANCH_ZIP": "n/a"}')):
+        (tmp_path / f"bad{i}.json").write_text(json.dumps(lines[0]) + "\n" + bad)
+        with pytest.raises(LoadRejected, match=("cast:BRANCH_CODE", "unreadable", "cast:BRANCH_ZIP")[i]):
+            load_table(spark, "branch", read_dataset(spark, "branch", str(tmp_path / f"bad{i}.json")), str(tmp_path / f"t{i}"))
+
+
+def test_broken_loan_lines_are_refused(spark, tmp_path):
+    (tmp_path / "loan.json").write_text('{"Application_Status": "Y"}\n{"Application_Status": broken')
+    raw = read_dataset(spark, "loan", str(tmp_path / "loan.json"))
+    with pytest.raises(LoadRejected, match="unreadable"):
+        load_table(spark, "loan", raw, str(tmp_path / "loan"))
+
+
 def test_inferred_columns_clean_alike(spark, tmp_path, ansi):
     (tmp_path / "credit.json").write_text(json.dumps(LINE))
     inferred = read_dataset(spark, "credit", str(tmp_path / "credit.json"), infer=True)
@@ -44,10 +64,12 @@ def test_json_array(spark, tmp_path):
     assert rows(declared) == [("Y", "No", None, None), ("N", "No", None, None)]
 
 
-def test_bad_lines_are_kept_as_nulls_or_refused(spark, tmp_path):
+def test_bad_lines_are_listed_or_refused(spark, tmp_path):
     (tmp_path / "bad.json").write_text(json.dumps(LINE) + "\n{not json")
     kept = read_dataset(spark, "credit", str(tmp_path / "bad.json"))
     assert [r[0] for r in kept.collect()] == ["42", None]
+    assert rows(unreadable(kept)) == [("{not json", 0)]
+    assert rows(unreadable(kept.drop(CORRUPT))) == []
     with pytest.raises(Exception, match="(?i)malformed"):
         read_dataset(spark, "credit", str(tmp_path / "bad.json"), mode="FAILFAST").collect()
     with pytest.raises(ValueError, match="unknown dataset"):
