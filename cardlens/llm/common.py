@@ -66,6 +66,25 @@ class Terms(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+class Remembered(dict):
+    """What was met lately, in two generations of about ``limit`` entries: the entries here and older ones."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self._limit = limit
+        self._older: dict[str, bytes] = {}
+
+    def unknown(self, wanted: set[str]) -> set[str]:
+        """Those of ``wanted`` that have to be learnt; the others are entries from here on."""
+        if len(self) > self._limit:
+            self._older = dict(self)
+            self.clear()
+        missing = wanted - self.keys()
+        again = self._older.keys() & missing
+        self.update((w, self._older[w]) for w in again)
+        return missing - again
+
+
 _KEPT: list[tuple[object, object]] = []
 
 

@@ -10,7 +10,9 @@ part's file, its documents and ids, and its bases: the prefix sums over the part
 from __future__ import annotations
 
 import os
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -20,7 +22,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlens.llm.common import kept, slices, unused
+from cardlens.llm.common import Remembered, kept, slices, unused
 
 _MANIFEST = "part int, file string, documents long, ids long, first_document long, first_id long, width int"
 _SIGNS = (",", ".", "!", "?", ";", ":")
@@ -31,23 +33,22 @@ NO_ID = -(2**63)
 class WordEncoder:
     """Encodes texts with a tokenizer that never joins text across a space or a line feed and drops both.
 
-    Such a text's ids are those of its words in a row, so each word is encoded once and remembered, up to
-    ``limit`` words. If the tokenizer also keeps a run of letters as it is but for its case and parts it from
+    Such a text's ids are those of its words in a row, so each word is encoded once and remembered. Past
+    ``limit`` words those in memory become the older ones, and only what is met again is carried over, so
+    common words stay and rare ones go. If the tokenizer also keeps a run of letters as it is but for its case and parts it from
     a sign behind it, which is tried out on a probe, the letters and the sign are encoded on their own, and
     plain ASCII letters go to the tokenizer's model at once.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 200_000):
+    def __init__(self, tokenizer: str, limit: int = 80_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(tokenizer)
         self.vocabulary = self._tokenizer.get_vocab_size()
         self.width = 2 if self.vocabulary <= 1 << 16 else 4
-        self._limit = limit
-        self._kind = f"<u{self.width}"
-        self._known: dict[str, bytes] = {}
-        self._letters: dict[str, bytes] = {}
+        self._known = Remembered(limit)
+        self._letters = Remembered(limit)
         self._parts_letters = self._keeps_letters()
 
     def _keeps_letters(self) -> bool:
@@ -59,25 +60,29 @@ class WordEncoder:
         )
 
     def _learn_letters(self, runs: set[str]) -> None:
-        if len(self._letters) > self._limit:
-            self._letters.clear()
-        new = runs - self._letters.keys()
+        letters = self._letters
+        new = letters.unknown(runs)
         plain = {r for r in new if r.isascii() and r.isalpha()}
-        tokenize = self._tokenizer.model.tokenize
+        tokenize, pack = self._tokenizer.model.tokenize, self._pack
         for run in plain:
-            self._letters[run] = np.array([t.id for t in tokenize(run.lower())], self._kind).tobytes()
-        self._learn(list(new - plain), self._letters)
+            letters[run] = pack([t.id for t in tokenize(run.lower())])
+        self._learn(list(new - plain), letters)
 
     def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
         found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        known.update((w, np.array(e.ids, self._kind).tobytes()) for w, e in zip(words, found))
+        pack = self._pack
+        known.update((w, pack(e.ids)) for w, e in zip(words, found))
+
+    def _pack(self, ids: list[int]) -> bytes:
+        numbers = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            numbers.byteswap()
+        return numbers.tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed."""
-        if len(self._known) > self._limit:
-            self._known.clear()
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*words) - self._known.keys()
+        new = self._known.unknown(set().union(*words))
         if self._parts_letters:
             cut = {w: (w, "") if w.isalpha() else (w[:-1], w[-1]) for w in new if w.isalpha() or w[-1:] in _SIGNS and w[:-1].isalpha()}
             self._learn_letters({part for parts in cut.values() for part in parts if part})
