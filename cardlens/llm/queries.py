@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
-
-import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlens.llm import (
     byte_bpe, chat, decontaminate, licences, neighbours, quality, sharding, simhash, token_files, warc,
@@ -18,11 +15,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@F.pandas_udf(T.LongType())
-def _crc32(packed: pd.Series) -> pd.Series:
-    return packed.map(zlib.crc32)
-
-
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
     path = shared_path(spark, "token-files")
@@ -30,7 +22,7 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer, end_id=1)
     return token_files.read_token_files(spark, path).select(
         "doc_id", "start", F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
-        _crc32("ids").alias("ids_crc32"),
+        F.crc32("ids").alias("ids_crc32"),
     )
 
 
