@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from cardlens.llm.common import kept, slices
+from cardlens.llm.common import Remembered, kept, slices
 
 _NONE = 1 << 62  # no pair, or a pair that has no rank
 _POSITION_BITS = 40
@@ -159,7 +159,7 @@ class Encoder:
     unit is cut by the pattern from its start to its end. ``pattern`` must have that property.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 40_000):
         self.ranks = ranks
         # The white space of Unicode; the engine's own class also takes four control characters for it.
         self._find = regex.compile(
@@ -167,15 +167,14 @@ class Encoder:
             .replace(r"\S", r"\P{White_Space}")
         ).findall
         self._space = regex.compile(r"\p{White_Space}").match
-        self._limit = limit
         self._merges = Merges(ranks)
-        self._matches: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._matches = Remembered(limit)
+        self._words = Remembered(limit)
 
     def _learn(self, matches: set[str]) -> None:
         """Encode the matches that are not remembered yet, those of like length together."""
         by_width: dict[int, list[str]] = {}
-        for match in matches - self._matches.keys():
+        for match in self._matches.unknown(matches):
             piece = match.encode()
             rank = self.ranks.get(piece)
             if rank is not None:
@@ -198,13 +197,9 @@ class Encoder:
         return self._find(f" {word}")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._words) > self._limit:
-            self._words.clear()
-        if len(self._matches) > self._limit:
-            self._matches.clear()
         words, matches = self._words, self._matches
         units = [t.split(" ") for t in texts]
-        new = set().union(*(u[1:] for u in units)) - words.keys()
+        new = words.unknown(set().union(*(u[1:] for u in units)))
         unsafe = {w for w in new if not w or self._space(w[0]) or self._space(w[-1])}
         cuts = {w: self._cut(w) for w in new - unsafe}
         whole = {
@@ -242,7 +237,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(table.value, pattern)
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 2 << 20):
             packed = encoder.encode([t or "" for t in batch[text].to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], [*batch.schema.names, out])
 

@@ -98,3 +98,16 @@ def test_token_files_round_trip(spark, docs_of, odd_rows, tmp_path):
 def test_token_files_of_an_empty_table(spark, docs_of, tmp_path):
     token_files.write_token_files(docs_of([]), str(tmp_path / "e"), WORDS)
     assert token_files.read_token_files(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_words_forgotten_in_between_are_encoded_alike():
+    texts = ["one two three, four", "two 5ive naïve one.", "", "  gap\ttab ", "one two three, four", "six seven one"]
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    for make in (
+        lambda limit: byte_bpe.Encoder(ranks, public_tokenizers.PATTERN, limit),
+        lambda limit: token_files.WordEncoder(tokenizer, limit),
+    ):
+        short = make(1)
+        assert [short.encode([t])[0] for t in texts] == make(10**6).encode(texts)
