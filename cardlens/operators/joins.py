@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # Raw bytes up to which a side is sent whole to every executor.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds more than this part of the rows, so there are fewer than 200 of them.
-HOT_SHARE = 0.005
+# A key is hot when it holds more than twice the rows of an average partition of the session's shuffles. The
+# part of all rows that makes is kept between these, so there are fewer than 2000 hot keys.
+LEAST_HOT_SHARE, MOST_HOT_SHARE = 0.0005, 0.005
 # Tasks over which one hot key is spread.
 SALT_BUCKETS = 256
 
@@ -25,13 +26,21 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     return df.agg(size.alias("bytes")).first()["bytes"] <= max_bytes
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """The keys, null among them, that hold more than ``share`` of the rows.
+def hot_share(df: DataFrame) -> float:
+    """The part of the rows from which a key is hot, by the session's number of shuffle partitions."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(2 / partitions, LEAST_HOT_SHARE), MOST_HOT_SHARE)
+
+
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> list:
+    """The keys, null among them, that hold more than ``share`` (by default ``hot_share``) of the rows.
 
     One pass with a mergeable sketch: no key is shuffled, a task sends a few thousand counters, and at
     most ``1 / share`` keys come back. The counts are estimates, which is enough here: hot or not
     decides where a row is joined, not whether.
     """
+    if share is None:
+        share = hot_share(df)
     most = int(1 / share)
     found = df.agg(
         F.expr(f"approx_top_k(`{key}`, {most}, {10 * most})").alias("top"), F.count("*").alias("n")

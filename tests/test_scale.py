@@ -147,3 +147,17 @@ def test_every_query_stays_in_spark(spark, name):
     text = plan(entry_points.queries()[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow", "Window"):
         assert unwanted not in text, unwanted
+
+
+def test_a_key_of_a_few_thousandths_is_spread_where_partitions_are_many(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "1000")
+    many = spark.range(200_000).selectExpr("id", "IF(id % 1000 < 3, -1L, id) AS k")  # 0.3 % of the rows
+    assert hot_keys(many, "k") == [-1]
+    names = many.selectExpr("k").distinct().where("k < 2000").selectExpr("k", "k AS name")
+    joined = shuffle_join(many, names, "k", ["id"])
+    tasks = joined.where("k = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in tasks) == 600
+    assert len(tasks) > 100
+    conf("spark.sql.shuffle.partitions", "8")
+    assert hot_keys(many, "k") == []
