@@ -10,6 +10,8 @@ part's file, its documents and ids, and its bases: the prefix sums over the part
 from __future__ import annotations
 
 import os
+import re
+import string
 import sys
 import uuid
 from array import array
@@ -25,7 +27,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardlens.llm.common import Remembered, kept, slices, unused
 
 _MANIFEST = "part int, file string, documents long, ids long, first_document long, first_id long, width int"
-_SIGNS = (",", ".", "!", "?", ";", ":")
+# Latin letters that no normalisation of Unicode composes or splits; signs and digits that may follow them.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_SIGNS = string.digits + string.punctuation
+_LETTERS_FIRST = re.compile(f"({_LETTERS.pattern})([{re.escape(_SIGNS)}].*)?", re.DOTALL).fullmatch
 # Stands for a null document id in a ``.docs`` file.
 NO_ID = -(2**63)
 
@@ -35,12 +40,12 @@ class WordEncoder:
 
     Such a text's ids are those of its words in a row, so each word is encoded once and remembered. Past
     ``limit`` words those in memory become the older ones, and only what is met again is carried over, so
-    common words stay and rare ones go. If the tokenizer also keeps a run of letters as it is but for its case and parts it from
-    a sign behind it, which is tried out on a probe, the letters and the sign are encoded on their own, and
-    plain ASCII letters go to the tokenizer's model at once.
+    common words stay and rare ones go. If the tokenizer also keeps a run of Latin letters as it is but for its case, spells it
+    byte by byte and parts it from a sign or digit behind it, which is tried out on a probe, a word's first letters and
+    the rest are encoded on their own, and the letters go to the tokenizer's model at once.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 80_000):
+    def __init__(self, tokenizer: str, limit: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -49,24 +54,36 @@ class WordEncoder:
         self.width = 2 if self.vocabulary <= 1 << 16 else 4
         self._known = Remembered(limit)
         self._letters = Remembered(limit)
+        self._rests = Remembered(limit)  # what stands behind the letters
+        self._spelled: dict[int, str] = {}  # the character that stands for each byte of a run of letters
         self._parts_letters = self._keeps_letters()
 
     def _keeps_letters(self) -> bool:
         normalizer, cutter = self._tokenizer.normalizer, self._tokenizer.pre_tokenizer
         if normalizer is None or cutter is None or self._tokenizer.post_processor is not None:
             return False
-        return normalizer.normalize_str("Azé.") == "azé." and all(
-            [p for p, _ in cutter.pre_tokenize_str(f"az{sign}")] == ["az", sign] for sign in _SIGNS
+
+        def cut(text: str) -> list[str]:
+            return [p for p, _ in cutter.pre_tokenize_str(normalizer.normalize_str(text))]
+
+        for letter in filter(_LETTERS.fullmatch, map(chr, range(256))):
+            raw, spelled = letter.lower().encode(), cut(letter)
+            if len(spelled) != 1 or len(spelled[0]) != len(raw):
+                return False
+            self._spelled.update(zip(raw, spelled[0]))
+        letters = "".join(filter(_LETTERS.fullmatch, map(chr, range(256))))
+        return cut(letters) == [self._spell(letters)] and all(
+            cut(f"{run}{sign}{run}")[0] == self._spell(run) for run in ("az", "é") for sign in _SIGNS
         )
 
+    def _spell(self, run: str) -> str:
+        return run.lower() if run.isascii() else run.lower().encode().decode("latin-1").translate(self._spelled)
+
     def _learn_letters(self, runs: set[str]) -> None:
-        letters = self._letters
-        new = letters.unknown(runs)
-        plain = {r for r in new if r.isascii() and r.isalpha()}
+        letters, spell = self._letters, self._spell
         tokenize, pack = self._tokenizer.model.tokenize, self._pack
-        for run in plain:
-            letters[run] = pack([t.id for t in tokenize(run.lower())])
-        self._learn(list(new - plain), letters)
+        for run in letters.unknown(runs):
+            letters[run] = pack([t.id for t in tokenize(spell(run))])
 
     def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
         found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -84,10 +101,11 @@ class WordEncoder:
         words = [t.replace("\n", " ").split(" ") for t in texts]
         new = self._known.unknown(set().union(*words))
         if self._parts_letters:
-            cut = {w: (w, "") if w.isalpha() else (w[:-1], w[-1]) for w in new if w.isalpha() or w[-1:] in _SIGNS and w[:-1].isalpha()}
-            self._learn_letters({part for parts in cut.values() for part in parts if part})
-            self._letters[""] = b""
-            self._known.update((w, self._letters[a] + self._letters[b]) for w, (a, b) in cut.items())
+            cut = {w: parts.groups("") for w, parts in zip(new, map(_LETTERS_FIRST, new)) if parts}
+            self._learn_letters({run for run, _ in cut.values()})
+            rests = {rest for _, rest in cut.values()}
+            self._learn(list(self._rests.unknown(rests)), self._rests)
+            self._known.update((w, self._letters[run] + self._rests[rest]) for w, (run, rest) in cut.items())
             new -= cut.keys()
         self._learn(list(new), self._known)
         return [b"".join(map(self._known.__getitem__, w)) for w in words]
@@ -142,7 +160,7 @@ def write_token_files(
         documents, offsets = [], [0]
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{name}.ids") as out:
-            for batch in slices(batches, text):
+            for batch in slices(batches, text, 1 << 20):
                 documents += [NO_ID if d is None else d for d in batch[doc_id].to_pylist()]
                 for ids in encoder.encode([t or "" for t in batch[text].to_pylist()]):
                     out.write(ids + end)
