@@ -9,7 +9,7 @@ encoded in ``n log n``, and the result is that of taking the lowest, leftmost pa
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -237,13 +237,46 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(table.value, pattern)
-        for batch in slices(batches, text, 2 << 20):
+        for batch in slices(batches, text, 1 << 20):
             packed = encoder.encode([t or "" for t in batch[text].to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], [*batch.schema.names, out])
 
     return df.mapInArrow(run, schema)
 
 
+def _bytes_of(packed: bytes | None, token: Callable[[int], bytes]) -> bytes:
+    return b"".join(map(token, np.frombuffer(packed or b"", "<u4").tolist()))
+
+
+def encode_and_decode(
+    df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``text`` is replaced by ``ids``, packed, and ``decoded``, the bytes
+    that these ids stand for. One worker a task does both, and the text is not sent back.
+
+    Every row comes back once with its other columns; one that is already called ``ids`` or ``decoded`` is
+    an error. A null text has no ids and no bytes.
+    """
+    others = [f for f in df.schema.fields if f.name != text]
+    if {ids, decoded} & {f.name for f in others} or ids == decoded:
+        raise ValueError(f"there is a column {ids!r} or {decoded!r} already")
+    if any(bytes([b]) not in ranks for b in range(256)):
+        raise ValueError("the ranks lack a byte")
+    table = df.sparkSession.sparkContext.broadcast(ranks)
+    schema = T.StructType([*others, T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(table.value, pattern)
+        token = {rank: token for token, rank in encoder.ranks.items()}.__getitem__
+        for batch in slices(batches, text, 1 << 20):
+            packed = encoder.encode([t or "" for t in batch[text].to_pylist()])
+            columns = [batch[f.name] for f in others]
+            columns += [pa.array(packed, pa.binary()), pa.array([_bytes_of(x, token) for x in packed], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Replace ``ids``, packed as ``encode`` packs them, by the bytes they stand for, in ``out``.
 
@@ -259,7 +292,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = table.value.__getitem__
         for batch in slices(batches, ids):
-            whole = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in batch[ids].to_pylist()]
+            whole = [_bytes_of(x, token) for x in batch[ids].to_pylist()]
             columns = [batch[f.name] for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(whole, pa.binary())], [f.name for f in kept] + [out])
 

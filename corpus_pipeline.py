@@ -33,16 +33,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, packed, and whether they decode to its text."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    given = encoded.select(
-        "doc_id", F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
-        F.col("ids").alias("packed"), "ids",
-    )
-    decoded = byte_bpe.decode(given, ranks)
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"),
-        F.col("packed").alias("ids"),
+    given = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return byte_bpe.encode_and_decode(given, ranks, public_tokenizers.PATTERN).select(
+        "doc_id", F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"), "ids",
     )
 
 

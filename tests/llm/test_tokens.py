@@ -56,6 +56,11 @@ def test_encode_and_decode_frames(spark, docs_of, odd_rows, ranks, reference):
     decoded = byte_bpe.decode(encoded, ranks).collect()
     assert len(decoded) == len(odd_rows)
     assert all(bytes(r["decoded"]).decode() == (r["text"] or "") for r in decoded)
+    both = byte_bpe.encode_and_decode(df, ranks, public_tokenizers.PATTERN)
+    assert both.columns == [*(c for c in df.columns if c != "text"), "ids", "decoded"]
+    rows_of = lambda frame, *columns: sorted(tuple(map(str, (r[c] for c in columns))) for r in frame.collect())
+    assert rows_of(both, "doc_id", "ids") == rows_of(encoded, "doc_id", "ids")
+    assert sorted(bytes(r["decoded"]) for r in both.collect()) == sorted(bytes(r["decoded"]) for r in decoded)
     assert byte_bpe.encode(df.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
     with pytest.raises(ValueError):
         byte_bpe.encode(df, ranks, public_tokenizers.PATTERN, out="score")
