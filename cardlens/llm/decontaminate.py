@@ -2,14 +2,17 @@
 
 The benchmark's items are cut into passages. A term weighs by its inverse frequency in the passages of all
 documents. A randomised SVD of the TF-IDF matrix of the benchmark's passages gives the space they span: its
-products and sums are made where the passages lie, and only matrices as wide as the rank come together.
-Overlapping windows of every document are folded into that space, and those near a passage by cosine are
-candidates. A candidate stands if the longest common subsequence of the item and a stretch of the document
+products and sums are made where the passages lie, and only matrices as wide as the rank come together. The
+rank is that of the passages, so the space holds every passage whole; a large benchmark is cut into blocks.
+Overlapping windows of every document are folded into that space. A window is a candidate for a passage if its
+cosine is at least what a window of its length has that holds most of the passage, even if only the lightest
+terms are left. A candidate stands if the longest common subsequence of the item and a stretch of the document
 covers most of the item, and most of the item's answer, its last sentence, too.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -22,18 +25,18 @@ from pyspark.sql import DataFrame, functions as F
 from cardlens.llm.common import Terms, known_terms, slices, terms
 
 PASSAGE = 32  # terms
-BLOCK = 16  # windows begin at every block; three blocks hold any passage whole
+BLOCK = 16  # windows begin at every block
+SPAN = 5  # blocks of a window: it holds any passage whole that half as many other terms were put into
+WIDE = 256  # columns that are summed in one row
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 @dataclass(frozen=True)
 class Settings:
-    rank: int = 256
     oversample: int = 16
-    cosine: float = 0.5  # of a window and a passage in the latent space
-    mass: float = 0.35  # part of the lightest passage's squared weights a window must hold to be folded in
     common: float = 0.7  # part of the item, and of its answer, in the longest common subsequence
     block_bytes: int = 1 << 20  # benchmark text that is searched for in one pass over the documents
+    block_passages: int = 512  # and about how many passages of it; the rank follows them
     seed: int = 11
 
 
@@ -92,14 +95,17 @@ def randomised_svd(rows: DataFrame, width: int, rank: int, oversample: int, seed
                         image = weight @ basis[index]
                         for t, w in zip(r["terms"], weight):
                             total[t] = total.get(t, 0) + w * image
-            if total:
-                yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int32()), pa.array([v.tolist() for v in total.values()])], ["term", "v"])
+            for part in range(0, basis.shape[1], WIDE):
+                if total:
+                    values = [v[part:part + WIDE].tolist() for v in total.values()]
+                    yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int32()), pa.array([part] * len(total), pa.int32()), pa.array(values)], ["term", "part", "v"])
 
-        sums = [F.sum(F.col("v")[i]).alias(f"c{i}") for i in range(basis.shape[1])]
-        summed = rows.mapInArrow(run, "term int, v array<double>").groupBy("term").agg(F.array(*sums).alias("v"))
+        sums = [F.sum(F.get("v", F.lit(i))).alias(f"c{i}") for i in range(min(WIDE, basis.shape[1]))]
+        summed = rows.mapInArrow(run, "term int, part int, v array<double>").groupBy("term", "part").agg(F.array(*sums).alias("v"))
         out = np.zeros((width, basis.shape[1]))
-        for r in summed.toLocalIterator():  # as many rows as terms in a block of the benchmark
-            out[r["term"]] = r["v"]
+        for r in summed.toLocalIterator():  # as many rows as terms in a block of the benchmark, for each part
+            n = min(WIDE, basis.shape[1] - r["part"])
+            out[r["term"], r["part"]:r["part"] + n] = r["v"][:n]
         return out
 
     basis, _ = np.linalg.qr(project(test))
@@ -120,9 +126,11 @@ class Index:
     item_ids: list
     items: list[list[int]]
     answers: list[list[int]]
+    words: list[frozenset[int]]  # the terms of each item
     latent: np.ndarray  # unit vectors of the passages
     of_item: np.ndarray
-    least_mass: float
+    least: np.ndarray  # least product of a passage's unit vector and a window that holds ``common`` of its terms
+    least_mass: float  # least sum of squared weights of a window that holds ``common`` of a passage's terms
 
     def search(self, texts: list[str], known: Terms) -> Iterator[tuple[int, int, float, float]]:
         """Text number, item number, cosine and common part of every finding."""
@@ -140,17 +148,17 @@ class Index:
         n = int(blocks.sum())
         held = np.bincount(block_of, self.mass[ids[hit]], n)
         owner = np.repeat(np.arange(len(texts)), blocks)
-        joins = [np.append(owner[k:] == owner[:len(owner) - k], np.zeros(min(k, n), bool)) for k in (1, 2)]
-        window = held + sum(np.append(held[k:], np.zeros(min(k, n))) * j for k, j in zip((1, 2), joins))
-        wanted = window >= self.settings.mass * self.least_mass
-        bounds = np.searchsorted(block_of, np.arange(n + 3))
+        joins = [np.append(owner[k:] == owner[:max(n - k, 0)], np.zeros(min(k, n), bool)) for k in range(1, SPAN)]
+        window = held + sum(np.append(held[k:], np.zeros(min(k, n))) * j for k, j in enumerate(joins, 1))
+        wanted = window >= self.least_mass
+        bounds = np.searchsorted(block_of, np.arange(n + 1))
         for i in range(0, n, 2048):
             at = i + np.flatnonzero(wanted[i:i + 2048])
             if len(at):
                 yield from self._near(at, i, ids, hit, bounds, joins, owner, first, starts, sizes)
 
     def _near(self, at, base, ids, hit, bounds, joins, owner, first, starts, sizes) -> Iterator[tuple[int, int, float, float]]:
-        end = min(base + 2050, len(owner))
+        end = min(base + 2048 + SPAN - 1, len(owner))
         edges = bounds[base:end + 1]
         # The terms of a block one after the other, of all blocks that have so many at once.
         counts = np.diff(edges)
@@ -159,40 +167,68 @@ class Index:
         for j in range(counts.max(initial=0)):
             more = int((counts > j).sum())
             total[:more] += self.fold[ids[hit[begins[:more] + j]]]
-        sums = np.zeros((len(order) + 2, self.fold.shape[1]), np.float32)
+        sums = np.zeros((len(order) + SPAN - 1, self.fold.shape[1]), np.float32)
         sums[order] = total
-        folded = sums[at - base] + sums[at - base + 1] * joins[0][at, None] + sums[at - base + 2] * joins[1][at, None]
-        cosine = folded @ self.latent.T / np.maximum(np.linalg.norm(folded, axis=1), 1e-12)[:, None]
-        best: dict[tuple[int, int], tuple[float, float]] = {}
-        for w, p in zip(*np.nonzero(cosine >= self.settings.cosine)):
+        folded = sums[at - base]
+        for k, join in enumerate(joins, 1):
+            folded += sums[at - base + k] * join[at, None]
+        product = folded @ self.latent.T
+        near = [x.tolist() for x in np.nonzero(product >= self.least)]
+        norms = np.maximum(np.linalg.norm(folded, axis=1), 1e-12)
+        # Windows of one text that are near one item and overlap are looked into at once.
+        runs: dict[tuple[int, int], list[list[float]]] = {}
+        for w, p, cosine in zip(*near, (product[near[0], near[1]] / norms[near[0]]).tolist()):
             text, item = int(owner[at[w]]), int(self.of_item[p])
-            begin = (at[w] - first[text]) * BLOCK
-            common = self._common(ids[starts[text]:starts[text] + sizes[text]], int(begin), item)
-            if common is not None:
-                best[text, item] = max(best.get((text, item), (0.0, 0.0)), (float(cosine[w, p]), common))
-        for (text, item), (c, common) in best.items():
-            yield text, item, c, common
-
-    def _common(self, ids: np.ndarray, begin: int, item: int) -> float | None:
-        """The part of the item in the best stretch of the document around ``begin``, or None."""
-        wanted, answer = self.items[item], self.answers[item]
+            begin = int(at[w] - first[text]) * BLOCK
+            seen = runs.setdefault((text, item), [])
+            if seen and begin <= seen[-1][1]:
+                seen[-1][1:] = begin + SPAN * BLOCK, max(seen[-1][2], cosine)
+            else:
+                seen.append([begin, begin + SPAN * BLOCK, cosine])
+        for (text, item), seen in runs.items():
+            whole = ids[starts[text]:starts[text] + sizes[text]]
+            for begin, stop, cosine in seen:
+                common = self._common(whole, begin, stop, item)
+                if common is not None:
+                    yield text, item, cosine, common
+
+    def _common(self, ids: np.ndarray, begin: int, stop: int, item: int) -> float | None:
+        """The part of the item in the best stretch of the document that meets ``begin`` to ``stop``, or None.
+
+        A stretch begins at a term of the item; those of long items begin at every eighth of the item only, and
+        are longer by as much.
+        """
+        wanted, answer, words = self.items[item], self.answers[item], self.words[item]
         n, need = len(wanted), self.settings.common
-        length = n + max(4, n // 2)
-        low, high = max(0, begin - n), min(len(ids), begin + 3 * BLOCK + n)
-        found = None
-        # A subsequence cannot be longer than the part of the item that occurs at all.
-        if sum(map(set(ids[low:high + length].tolist()).__contains__, wanted)) < need * n:
-            return None
-        for a in range(low, max(low + 1, high - n // 2), max(1, n // 4)):
-            stretch = ids[a:a + length].tolist()
-            if sum(map(set(stretch).__contains__, wanted)) < need * n:
+        step = max(1, n // 8)
+        length = n + max(4, n // 2) + step - 1
+        low = max(0, begin - length)
+        low -= low % step
+        near = ids[low:stop + length].tolist()
+        at = [i for i, t in enumerate(near) if t in words]
+        least = _most(n, need)
+        found, last = None, -1
+        for k in range(len(at) - least + 1):  # fewer terms of the item cannot have so long a subsequence
+            a = at[k] - at[k] % step
+            if a == last or at[k + least - 1] >= a + length:
+                continue
+            last = a
+            stretch = near[a:a + length]
+            if sum(map(set(stretch).__contains__, wanted)) < least:
                 continue
             part = lcs(wanted, stretch) / n
             if part >= need and (found is None or part > found) and lcs(answer, stretch) >= need * len(answer):
                 found = part
+                if part == 1:
+                    break
         return found
 
 
+def _most(n: int, need: float) -> int:
+    """How many of ``n`` terms are the part ``need`` of them, or more."""
+    return math.ceil(n * need - 1e-9)
+
+
 def _frequencies(documents: DataFrame, text: str, number: dict[str, int]) -> tuple[np.ndarray, int]:
     """In how many passages of all documents each term occurs, and the number of passages."""
     vocabulary = documents.sparkSession.sparkContext.broadcast(number)
@@ -233,24 +269,34 @@ def build_index(documents: DataFrame, text: str, items: list[tuple], settings: S
     weight = np.log((count + 1) / (np.maximum(frequency, 1))) + 0.01
     weight[0] = 0
     parts = passages(ids)
-    rows = [[sorted(Counter(p).items())] for _, p in parts]
-    sparse = [([t for t, _ in r[0]], [float(weight[t]) * n for t, n in r[0]]) for r in rows]
+    counts = [Counter(p) for _, p in parts]
+    norms = [math.sqrt(sum((weight[t] * n) ** 2 for t, n in c.items())) for c in counts]
+    # Unit rows, so that passages of light terms are not lost in the noise of the others.
+    sparse = [(sorted(c), [float(weight[t]) * c[t] / norm for t in sorted(c)]) for c, norm in zip(counts, norms)]
     frame = spark.createDataFrame(sparse, "terms array<int>, weights array<double>")
-    vectors = randomised_svd(frame, len(number) + 1, settings.rank, settings.oversample, settings.seed)
+    vectors = randomised_svd(frame, len(number) + 1, len(parts), settings.oversample, settings.seed)
     latent = np.stack([np.array(w, np.float32) @ vectors[np.array(t)] for t, w in sparse])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+
+    def lightest(values: Iterable[float]) -> float:
+        ordered = sorted(values)
+        return 0.999 * sum(ordered[:_most(len(ordered), settings.common)])
+
     return Index(
         settings, number, (vectors * weight[:, None]).astype(np.float32), weight**2, [i for i, _ in items], ids,
-        [[number[t] for t in answer_of(t_)] for _, t_ in items], latent, np.array([i for i, _ in parts]),
-        min(sum(float(weight[t]) ** 2 for t in p) for _, p in parts),
+        [[number[t] for t in answer_of(t_)] for _, t_ in items], [frozenset(i) for i in ids], latent,
+        np.array([i for i, _ in parts]),
+        np.array([lightest(float(weight[t]) ** 2 * c[t] for t in p) / norm for (_, p), c, norm in zip(parts, counts, norms)], np.float32),
+        min(lightest(float(weight[t]) ** 2 for t in p) for _, p in parts),
     )
 
 
 def _indexes(documents: DataFrame, benchmark: DataFrame, text: str, settings: Settings) -> Iterator[Index]:
     """An index for each block of the benchmark."""
     asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").rlike(r"(?U)\w"))
-    size = asked.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    count = -(-size // settings.block_bytes)
+    about = F.greatest(F.lit(1), F.round(F.regexp_count("text", F.lit(r"(?U)\w+")) / PASSAGE + 0.25))
+    size = asked.agg(F.sum(F.octet_length("text")).alias("n"), F.sum(about).cast("long").alias("passages")).first()
+    count = max(-(-(size["n"] or 0) // settings.block_bytes), -(-(size["passages"] or 0) // settings.block_passages))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, count)))
     for number in range(count):
         items = [tuple(r) for r in asked.where(block == number).distinct().orderBy("item_id", "text").collect()]
@@ -265,7 +311,7 @@ def find_leaks(
     """``doc_id``, ``item_id``, ``cosine`` and ``common`` (part of the item found) for every benchmark item
     that a document holds.
 
-    ``benchmark`` has item_id and text. It is searched for in blocks of about ``block_bytes``, each with one
+    ``benchmark`` has item_id and text. It is searched for in blocks of about ``block_bytes`` or ``block_passages``, each with one
     index that goes to the tasks; every document is held against every block. Items without a term, and
     null or empty documents, match nothing. Rows that repeat a document are each reported; an empty table
     on either side gives no rows. Other columns play no part.

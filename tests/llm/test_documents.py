@@ -205,6 +205,53 @@ def test_planted_items_are_found_and_others_left_alone(spark, docs_of, odd_rows,
     assert decontaminate.drop_leaks(docs, benchmark.limit(0)).count() == len(rows)
 
 
+@pytest.fixture(scope="module")
+def many_leaks():
+    """Items of 5 to 60 words, and documents of the same words with items in them, every other one paraphrased."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices(["ba", "ne", "ri", "to", "su", "mo", "li", "ka"], k=rng.randrange(2, 5))) for _ in range(3000)]
+    weights = [1 / (i + 1) ** 0.8 for i in range(3000)]
+    draw = lambda n: rng.choices(words, weights, k=n)
+    items = [(i, " ".join(draw(5 + i % 56))) for i in range(1200)]
+    docs, planted = [], []
+    for i, text in items:
+        kept = text.split()
+        if i % 2:  # a quarter of the words differ, all of them before the answer
+            for k in rng.sample(range(len(kept) - max(3, len(kept) // 4)), len(kept) // 4):
+                kept[k] = "otherwise"
+        docs.append((i, " ".join([*draw(rng.randrange(10, 60)), *kept, *draw(rng.randrange(10, 60))])))
+        planted.append((i, i))
+    return items, docs, planted
+
+
+def slow_leaks(items, docs):
+    """Every document against every item, a stretch from every term on; no space, no windows."""
+    out = set()
+    for d, text in docs:
+        words = text.split()
+        have = set(words)
+        for i, item in items:
+            wanted, answer = item.split(), decontaminate.answer_of(item)
+            n = len(wanted)
+            if sum(w in have for w in wanted) < 0.7 * n:
+                continue
+            step = max(1, n // 8)
+            for a in range(0, len(words), step):
+                stretch = words[a:a + n + max(4, n // 2) + step - 1]
+                if sum(map(set(stretch).__contains__, wanted)) >= 0.7 * n and decontaminate.lcs(wanted, stretch) / n >= 0.7 and decontaminate.lcs(answer, stretch) >= 0.7 * len(answer):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_no_leak_is_lost_among_many_items_long_or_short(spark, docs_of, many_leaks):
+    items, docs, planted = many_leaks
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs_of(docs), benchmark).collect()}
+    assert found >= set(planted)
+    assert found == slow_leaks(items, docs)
+
+
 def test_registered_leaks_equal_a_search_for_the_words(spark):
     from cardlens.llm.common import terms
     from cardlens.llm.queries import op5_decontaminate
