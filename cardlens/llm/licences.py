@@ -1,13 +1,14 @@
 """Licence notices in documents, by the Dice coefficient over word bigrams.
 
-A document is cut into sentences, and every stretch of successive sentences may be a notice. A stretch and a
-template, both normalised to terms, are compared by their sets of bigrams: twice the common ones over the sum
-of both sizes. A stretch that is too short or too long for a template cannot reach the threshold, whatever it
+Every stretch of a document may be a notice; the best one for a template begins and ends with bigrams of the
+template. A stretch and a template, both normalised to terms, are compared by their sets of bigrams: twice the
+common ones over the sum of both sizes. A stretch that is too short or too long for a template cannot reach the threshold, whatever it
 says, so the size bounds prune most templates before anything is compared.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterator
@@ -19,7 +20,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from cardlens.llm.common import known_terms, slices, terms
 
-# The wording of common licence notices, by SPDX identifier.
+_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+    "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+    "permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+)
+# The wording of common licences and licence notices, by SPDX identifier.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -29,9 +52,28 @@ TEMPLATES: dict[str, list[str]] = {
     "MIT": [
         "Released under the MIT License.",
         "This project is licensed under the MIT License.",
+        "Licensed under the MIT License.",
+        f"{_MIT[:-1]}.",
+        f"{_MIT} The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files, to deal in the Software without restriction.",
     ],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+        "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+    ],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", _BSD + _AS_IS],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
@@ -48,13 +90,20 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met.",
+        f"{_BSD}3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        f"promote products derived from this software without specific prior written permission. {_AS_IS}",
     ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-ND-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
     "CC0-1.0": ["Released under CC0 1.0 Universal.", "This work is dedicated to the public domain under CC0 1.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
+_WORD = re.compile(r"\S+")
 _CUT = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -87,34 +136,46 @@ class Templates:
 
     def find(self, text: str) -> Iterator[tuple[str, float, int, int]]:
         """Name, coefficient and character span of each notice: the best match of stretches that overlap."""
-        spans, start = [], 0
-        for cut in [*_CUT.finditer(text), None]:
-            end = cut.start() if cut else len(text)
-            spans.append((start, end))
-            start = cut.end() if cut else end
-        sentences = [(a, b, w) for a, b in spans if (w := terms(text[a:b]))]
-        limits = [self.bounds(i) for i in range(len(self.grams))]
-        longest = max((high for _, high in limits), default=0)
-        vocabulary = {g for grams in self.grams for g in grams}
-        alike: list[tuple[float, int, int, str]] = []
-        for i, (begin, _, first) in enumerate(sentences):
-            if vocabulary.isdisjoint(zip(first, first[1:])):
-                continue  # a stretch that reaches the threshold does so too without such a sentence in front
-            words: list[str] = []
-            for _, end, more in sentences[i:]:
-                words += more
-                grams = bigrams(words)
-                if len(grams) > longest:
-                    break
-                for number, (low, high) in enumerate(limits):
-                    if low <= len(grams) <= high:
-                        value = dice(grams, self.grams[number])
-                        if value >= self.least:
-                            alike.append((-value, begin, end, self.names[number]))
+        words: list[str] = []
+        spans: list[tuple[int, int]] = []
+        for raw in _WORD.finditer(text):
+            more = terms(raw.group())
+            words += more
+            spans += [raw.span()] * len(more)
+        pairs = list(zip(words, words[1:]))
+        where: dict[tuple[str, str], list[int]] = {}
+        for i, pair in enumerate(pairs):
+            where.setdefault(pair, []).append(i)
+        alike: list[tuple[float, int, int, int, str]] = []
+        for number, (wanted, name) in enumerate(zip(self.grams, self.names)):
+            low, _ = self.bounds(number)
+            if sum(g in where for g in wanted) < low:
+                continue  # a stretch that reaches the threshold shares as many bigrams
+            n = len(wanted)
+            foreign = math.floor(n * (2 / self.least - 2) + 1e-9)  # bigrams that are not the template's
+            for begin in sorted(i for g in wanted for i in where.get(g, ())):
+                seen: set[tuple[str, str]] = set()
+                common = 0
+                for end in range(begin, len(pairs)):
+                    pair = pairs[end]
+                    if pair in seen:
+                        if pair == pairs[begin]:
+                            break  # the same bigrams follow without this one
+                        continue
+                    seen.add(pair)
+                    if pair not in wanted:
+                        if len(seen) - common > foreign:
+                            break
+                        continue
+                    common += 1
+                    value = 2 * common / (len(seen) + n)
+                    if value >= self.least:
+                        alike.append((-value, -n, spans[begin][0], spans[end + 1][1], name))
         taken: list[tuple[int, int]] = []
-        for value, begin, end, name in sorted(alike):
-            if all(end <= a or b <= begin for a, b in taken):
-                taken.append((begin, end))
+        for value, _, begin, end, name in sorted(alike):
+            at = bisect.bisect_left(taken, (begin, end))
+            if (at == len(taken) or end <= taken[at][0]) and (not at or taken[at - 1][1] <= begin):
+                taken.insert(at, (begin, end))
                 yield name, -value, begin, end
 
 
@@ -124,7 +185,7 @@ def scan(
     """``doc_id``, ``licence``, ``dice``, ``begin`` and ``end`` of every notice in each document.
 
     A notice is a stretch whose coefficient is ``least`` or more; of stretches that overlap, and of licences
-    that one stretch resembles, the best is reported (ties: the first stretch, then the first name). Texts are
+    that one stretch resembles, the best is reported (ties: the longer template, the first stretch, the first name). Texts are
     scanned whole, those without a notice have no row, nor have null and empty ones; rows that repeat a
     document are each reported. Other columns play no part.
     """

@@ -368,6 +368,16 @@ def test_licences_equal_brute_force(spark, docs_of, odd_rows):
     assert licences.scan(docs_of(rows), templates={}).count() == 0
 
 
+def test_notices_inside_a_sentence_and_whole_licences(spark, docs_of):
+    inline = "This package is copyright 2020 by the authors and is licensed under the Apache License, Version 2.0, as you know."
+    rows = [(1, inline), (2, "It is fine. Licensed under the MIT License. Go on."), (3, f"x y {licences._MIT} and z"), (4, "no notice")]
+    bodies = {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0"}
+    rows += [(10 + i, "a b c " + max(licences.TEMPLATES[n], key=len).replace(" ", "\n", 9) + " d e") for i, n in enumerate(sorted(bodies))]
+    found = [(r["doc_id"], r["licence"]) for r in licences.scan(docs_of(rows)).collect()]
+    wanted = [(1, "Apache-2.0"), (2, "MIT"), (3, "MIT"), *((10 + i, n) for i, n in enumerate(sorted(bodies)))]
+    assert sorted(found) == wanted
+
+
 # --- Pipeline ---
 
 
