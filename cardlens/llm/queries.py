@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardlens.llm import (
-    byte_bpe, chat, decontaminate, licences, neighbours, quality, sharding, simhash, token_files, warc,
+    byte_bpe, chat, decontaminate, licences, manifest, negatives, neighbours, quality, sharding, simhash, suffix_dedup,
+    token_files, warc,
 )
 from cardlens.session import shared_path
 
@@ -100,13 +103,114 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in a Merkle manifest, and what it says of documents whose text was changed."""
+    documents = _table(spark, sf_dir, "documents")
+    capitals = string.ascii_uppercase
+    changed = F.translate("text", capitals, capitals.lower())
+
+    def leaf(text: Column) -> Column:
+        return manifest.row_hash([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+
+    forged = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, leaf(changed))
+    rows = documents.select("doc_id", "lang", leaf(F.col("text")).alias("leaf"), forged.alias("forged"))
+    path = F.col("path")
+    proven = manifest.prove(rows).select(
+        "row.doc_id", "row.leaf", "subroot", "root", F.sha2(manifest.siblings(path), 256).alias("proof_sha256"),
+        manifest.folded(F.coalesce("row.forged", "row.leaf"), path).alias("folded_root"),
+    )
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, the labels of every seventh moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the strings of 400 bytes that occur twice."""
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), least=400)
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     q.__name__: q for q in (
         op1_token_files, op2_byte_bpe, op3_shards, op4_simhash, op5_decontaminate, op6_neighbours, op7_chat,
-        op8_quality, op9_licences, op10_warc,
+        op8_quality, op9_licences, op10_warc, op11_manifest, op12_negatives, op13_suffix_dedup,
     )
 }
+
+
+def _manifest_sql(levels: int = 9, group_levels: int = 4) -> str:
+    """The manifest of up to ``8 ** levels`` documents a language, level by level."""
+
+    def leaf(text: str) -> str:
+        fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+        return "SHA256(" + " || ".join(f"COALESCE(OCTET_LENGTH(ENCODE({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+    # CRC-32 of the decimal id: for each byte eight steps of the reflected polynomial (a fixed value).
+    bytes_of = "LIST_TRANSFORM(STRING_SPLIT(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ASCII(c) AS BIGINT))"
+    bit = "LIST_REDUCE(RANGE(8), lambda x, i: XOR(x >> 1, 3988292384 * (x & 1)), XOR(c, b))"
+    crc = f"XOR(LIST_REDUCE({bytes_of}, lambda c, b: {bit}, CAST(4294967295 AS BIGINT)), 4294967295)"
+    lower = "TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(name: str, steps: int) -> str:
+        """Of the nodes ``<name>0 (g, i, n, h)``: what stands left and right of each, and the next level."""
+        run = "PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN"
+        return ", ".join(f"""
+            {name}{k}s AS MATERIALIZED (SELECT *,
+                COALESCE(STRING_AGG(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                COALESCE(STRING_AGG(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}),
+            {name}{k + 1} AS MATERIALIZED (SELECT g, i // 8 AS i, (n + 7) // 8 AS n,
+                CASE WHEN n > 1 THEN SHA256(STRING_AGG(h, '' ORDER BY i)) ELSE MIN(h) END AS h FROM {name}{k} GROUP BY g, i // 8, n)"""
+            for k in range(steps))
+
+    def fold(name: str, steps: int, start: str, on: str) -> str:
+        """``f`` and the siblings ``p`` of each document, carried up ``steps`` levels."""
+        return ", ".join(f"""
+            {name}f{k + 1} AS MATERIALIZED (SELECT d.* REPLACE (
+                CASE WHEN s.n > 1 THEN SHA256(s.l || d.f || s.r) ELSE d.f END AS f,
+                CASE WHEN s.n > 1 THEN d.p || s.l || s.r ELSE d.p END AS p)
+            FROM {start if k == 0 else f'{name}f{k}'} d JOIN {name}{k}s s ON {on.format(8 ** k)})"""
+            for k in range(steps))
+
+    return f"""
+        WITH marked AS (SELECT doc_id, lang, {leaf('text')} AS leaf,
+                CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS f FROM documents),
+            d AS MATERIALIZED (SELECT *, COALESCE('.' || lang, '') AS g, '' AS p,
+                ROW_NUMBER() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, COUNT(*) OVER (PARTITION BY lang) AS n
+                FROM marked),
+            a0 AS MATERIALIZED (SELECT g, i, n, leaf AS h FROM d), {tree('a', levels)},
+            t AS MATERIALIZED (SELECT g AS own, h AS subroot, ROW_NUMBER() OVER (ORDER BY ENCODE(g)) - 1 AS place FROM a{levels}),
+            b0 AS MATERIALIZED (SELECT 0 AS g, place AS i, COUNT(*) OVER () AS n, subroot AS h FROM t), {tree('b', group_levels)},
+            {fold('a', levels, 'd', 'd.g = s.g AND d.i // {} = s.i')},
+            e AS MATERIALIZED (SELECT * FROM af{levels} JOIN t ON g = own),
+            {fold('b', group_levels, 'e', 'd.place // {} = s.i')}
+        SELECT doc_id, leaf, subroot, root.h AS root, SHA256(p) AS proof_sha256, f AS folded_root, f = root.h AS verified
+        FROM bf{group_levels}, b{group_levels} root"""
+
+
 ORACLES = {
+    "op11_manifest": _manifest_sql(),
+    "op12_negatives": """
+        WITH v AS (SELECT ROW_NUMBER() OVER () AS row, vec_id, LEN(embedding) AS dims,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   LIST_TRANSFORM(embedding, lambda x: FLOOR(256 * CAST(x AS DOUBLE))) AS c
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                   AND LEN(LIST_FILTER(embedding, lambda x: x IS NULL OR NOT ISFINITE(x))) = 0),
+             s AS MATERIALIZED (SELECT a.row AS a, a.vec_id AS anchor_id, b.row AS b, b.vec_id, a.label = b.label AS alike,
+                   CAST(LIST_INNER_PRODUCT(a.c, b.c) AS BIGINT) AS score
+                   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.row <> b.row AND a.dims = b.dims),
+             p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) AS turn FROM s WHERE alike),
+             n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                   CAST(ROW_NUMBER() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id, s.b) AS INTEGER) AS rank
+                   FROM p JOIN s ON p.turn <= 5 AND p.a = s.a AND NOT s.alike
+                   AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
     "op10_warc": """
         WITH p AS (SELECT page_id, ENCODE(COALESCE(html, '')) AS payload FROM pages),
              d AS (SELECT page_id, CAST(OCTET_LENGTH(payload) AS BIGINT) AS payload_bytes, SHA1(payload) AS payload_digest FROM p),
