@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # for a driver started elsewhere
 
 from cardlens import functions as fn, operators as op, standins as st
-from cardlens.plans import insights, loading, reports
+from cardlens.plans import insights, loading, reports, versions
 from cardlens.schemas import CORRUPT, CREDIT, CUSTOMER, LOAN_TABLE, UPDATABLE, TableSchema
 from cardlens.session import shared_path
-from cardlens.sources import load_all, read_dataset, read_table, write_table
+from cardlens.sources import Store, load_all, read_dataset, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -421,6 +421,67 @@ def update_customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- Versions of tables ---
+
+
+@_query(_ORACLES["update_customer_table"])
+def update_customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same updates, of which only the files that hold their customers are written anew."""
+    store = Store(spark, shared_path(spark, "store"))
+    versions.load_version(store, {"customer": st.customer_as_raw_customer(spark, sf_dir)})
+    given = {"FIRST_NAME": F.col("s_name"), "CUST_ZIP": F.col("s_nationkey")}
+    updates = st.read(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("SSN"), F.lit(1).alias("seq"),
+        *(given.get(c, F.lit("")).alias(c) for c in UPDATABLE),
+    )
+    as_of = F.lit("2026-01-01").cast("timestamp")
+    versions.update_version(store, updates, as_of=as_of)
+    return spark.table(CUSTOMER.name).select(
+        "SSN", "FIRST_NAME", "CUST_CITY", "CUST_ZIP", (F.col("LAST_UPDATED") == as_of).alias("updated")
+    )
+
+
+@_query("""
+    SELECT CAST(o_custkey AS INTEGER) AS "SSN", COUNT(*) + COUNT(DISTINCT c_custkey) AS n
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 2 = 0
+    GROUP BY o_custkey HAVING n > 1""")
+def append_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of orders that would not be unique behind those of every second customer."""
+    store = Store(spark, shared_path(spark, "store"))
+    raw = st.customer_as_raw_customer(spark, sf_dir)
+    versions.load_version(store, {"customer": raw.where(F.col("SSN") % 2 == 0)})
+    new = st.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("SSN"))
+    return versions.append_key_violations(store, CUSTOMER, new, "SSN")
+
+
+@_query("""
+    SELECT c_custkey AS "SSN", CONCAT_WS(',', CASE WHEN c_custkey % 5 = 0 THEN 'cast:CUST_ZIP' END,
+           CASE WHEN c_custkey % 7 = 0 THEN 'length:CUST_EMAIL' END) AS rules
+    FROM customer""")
+def load_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, some with a zip code that is no number or an address that is too long, loaded in one pass."""
+    key = F.col("SSN")
+    raw = st.customer_as_raw_customer(spark, sf_dir).withColumns({
+        "CUST_ZIP": F.when(key % 5 == 0, "n/a").otherwise(F.col("CUST_ZIP")),
+        "CUST_EMAIL": F.when(key % 7 == 0, F.repeat("CUST_EMAIL", F.lit(20))).otherwise(F.col("CUST_EMAIL")),
+    })
+    good, rejected = versions.load_with_rejects(spark, "customer", raw, shared_path(spark, "judged"))
+    kept = good.select(F.col("SSN").cast("long").alias("SSN"), F.lit("").alias("rules"))
+    aside = F.get_json_object("record", "$.SSN").cast("long").alias("SSN")
+    return kept.unionByName(rejected.select(aside, F.array_join("rules", ",").alias("rules")))
+
+
+@_query(_ORACLES["loaded_branch_totals"])
+def version_branch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branches and transactions published as one version, whose totals stay while later versions appear."""
+    store = Store(spark, shared_path(spark, "store"))
+    branch, credit = st.supplier_as_raw_branch(spark, sf_dir), st.orders_as_raw_credit(spark, sf_dir)
+    first = versions.load_version(store, {"branch": branch, "credit": credit})
+    versions.append_version(store, "credit", credit)
+    tables = versions.open_version(store, first)
+    return reports.branch_totals(tables["CDW_SAPP_BRANCH"], tables[CREDIT.name], "NATION_15")
+
+
 # --- Reports ---
 
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cardlens.names import free_name
+
 # Raw bytes up to which a side is sent whole to every executor.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds more than twice the rows of an average partition of the session's shuffles. The
@@ -73,11 +75,12 @@ def shuffle_join(
         is_hot = F.col(key).isNull() | is_hot
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salt_buckets)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    salted = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
+    salt = free_name([*facts.columns, *lookup.columns], "_salt")
+    salted = facts.withColumn(salt, F.when(is_hot, spread).otherwise(0))
     copies = lookup.where(F.col(key).isNotNull()).withColumn(
-        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
+        salt, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
     )
-    return salted.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [key, salt], how).drop(salt)
 
 
 def lookup_join(

@@ -39,25 +39,24 @@ def apply_schema(df: DataFrame, table: TableSchema) -> DataFrame:
     return df.select(*(typed_value(df, table, c).alias(c) for c in table.columns))
 
 
+def broken_rules(df: DataFrame, table: TableSchema | None) -> dict[str, Column]:
+    """What a row can break, by name: ``cast:COLUMN``, a value lost in the cast; ``length:COLUMN``, a string over
+    the limit; and, if the frame has a column of unreadable records, ``unreadable``. Without a table only the latter."""
+    columns = table.columns if table else ()
+    rules = {f"cast:{c}": _lost_in_cast(df, table, c) for c in columns if table.spark_type(c) != "string"}
+    for c, limit in (table.limited.items() if table else ()):
+        rules[f"length:{c}"] = F.length(F.col(c).cast("string")) > limit
+    if CORRUPT in df.columns:
+        rules["unreadable"] = F.col(CORRUPT).isNotNull()
+    return rules
+
+
 def violation_counts(df: DataFrame, table: TableSchema | None) -> list[Column]:
-    """Aggregates that count, per column, values lost in the cast and strings over the limit, and, if the
-    frame has a column of unreadable records, those. Without a table only the latter.
+    """Aggregates that count the rows that break each of the ``broken_rules``.
 
     Meant for ``DataFrame.observe``, which fills them in while the table is being written.
     """
-    columns = table.columns if table else ()
-    counts = [
-        F.count_if(_lost_in_cast(df, table, c)).alias(f"cast:{c}")
-        for c in columns
-        if table.spark_type(c) != "string"
-    ]
-    counts += [
-        F.count_if(F.length(F.col(c).cast("string")) > limit).alias(f"length:{c}")
-        for c, limit in (table.limited.items() if table else ())
-    ]
-    if CORRUPT in df.columns:
-        counts.append(F.count_if(F.col(CORRUPT).isNotNull()).alias("unreadable"))
-    return counts
+    return [F.count_if(rule).alias(name) for name, rule in broken_rules(df, table).items()]
 
 
 def unreadable(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cardlens.names import free_name
 from cardlens.operators.joins import fits_broadcast, lookup_join, shuffle_join
 from cardlens.operators.quality import key_violations, value_violations
 from cardlens.schemas import CUSTOMER, UPDATABLE, TableSchema
@@ -44,23 +45,24 @@ def apply_updates(
     table in a ``shuffle_join``.
     """
     batch = updates.select(key, seq, *columns).where(F.col(key).isNotNull())
+    count, update = (free_name([*df.columns, key, seq, *columns], name) for name in ("_n", "_update"))
     # One row a (key, seq) first: it tells ties, and leaves less to compare.
-    turns = batch.groupBy(key, seq).agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in columns))
+    turns = batch.groupBy(key, seq).agg(F.count("*").alias(count), *(F.first(c).alias(c) for c in columns))
     tie = F.concat(F.lit("updates without an order: "), F.lit(key), F.lit(" "), F.col(key).cast("string"))
-    ordered = F.when((F.col("_n") == 1) & F.col(seq).isNotNull(), F.col(seq)).otherwise(
+    ordered = F.when((F.col(count) == 1) & F.col(seq).isNotNull(), F.col(seq)).otherwise(
         F.raise_error(tie).cast(updates.schema[seq].dataType)
     )
-    latest = turns.groupBy(key).agg(F.max(F.struct(ordered.alias(seq), *columns)).alias("_update"))
+    latest = turns.groupBy(key).agg(F.max(F.struct(ordered.alias(seq), *columns)).alias(update))
     if fits_broadcast(batch):
         joined = df.join(F.broadcast(latest), key, "left")
     else:
         joined = shuffle_join(df, latest, key, df.columns, "left")
-    matched = F.col("_update").isNotNull()
+    matched = F.col(update).isNotNull()
     stamped = F.current_timestamp() if as_of is None else as_of
 
     def value(name: str) -> Column:
         if name in columns:
-            given, kind = F.col(f"_update.{name}"), df.schema[name].dataType
+            given, kind = F.col(update)[name], df.schema[name].dataType
             lost = F.raise_error(F.concat(F.lit(f"{name} cannot be "), given.cast("string"))).cast(kind)
             new = F.when(given.isNull() | given.try_cast(kind).isNotNull(), given.try_cast(kind)).otherwise(lost)
         elif name == stamp:

@@ -13,7 +13,7 @@ from cardlens.schemas import CORRUPT, CUSTOMER, LOAN_TABLE, TABLES
 from cardlens.sources.tables import read_table, register, write_table
 
 # Sort inside the files of a table, by the column its look-ups filter on.
-_CLUSTER_BY = {"credit": ("CUST_CC_NO", "TIMEID"), "customer": ("SSN",)}
+CLUSTER_BY = {"credit": ("CUST_CC_NO", "TIMEID"), "customer": ("SSN",)}
 
 
 class LoadRejected(ValueError):
@@ -40,7 +40,7 @@ def load_table(spark: SparkSession, dataset: str, raw: DataFrame, path: str) ->
     if table is None:
         write_table(counted.drop(CORRUPT), path)
     else:
-        write_table(apply_schema(counted, table), path, table.month_of, _CLUSTER_BY.get(dataset, ()))
+        write_table(apply_schema(counted, table), path, table.month_of, CLUSTER_BY.get(dataset, ()))
     broken = {rule: n for rule, n in seen.get.items() if n} if rules else {}
     if broken:
         raise LoadRejected(f"{dataset}: {broken}; below {path}")
@@ -59,6 +59,15 @@ def load_tables(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) ->
     return loaded
 
 
+def refuse_updates(updates: DataFrame, seq: str) -> None:
+    """Raise if the order of a batch of account updates is not defined, or a value breaks a type or a length."""
+    if not update_conflicts(updates, "SSN", seq).isEmpty():
+        raise LoadRejected(f"updates: the same SSN and {seq} occur more than once, or are null")
+    broken = update_violations(updates).groupBy("column", "rule").count().collect()  # a row a column at most
+    if broken:
+        raise LoadRejected(f"updates: {sorted((r['column'], r['rule'], r['count']) for r in broken)}")
+
+
 def update_customers(
     spark: SparkSession,
     customer: DataFrame,
@@ -73,12 +82,8 @@ def update_customers(
     whose order is not defined, or whose values break a type or a length, are refused before anything is
     written; ``update_violations`` lists the latter.
     """
-    if not update_conflicts(updates, "SSN", seq).isEmpty():
-        raise LoadRejected(f"updates: the same SSN and {seq} occur more than once, or are null")
-    broken = update_violations(updates).groupBy("column", "rule").count().collect()  # a row a column at most
-    if broken:
-        raise LoadRejected(f"updates: {sorted((r['column'], r['rule'], r['count']) for r in broken)}")
-    write_table(apply_updates(customer, updates, seq=seq, as_of=as_of), path, None, _CLUSTER_BY["customer"])
+    refuse_updates(updates, seq)
+    write_table(apply_updates(customer, updates, seq=seq, as_of=as_of), path, None, CLUSTER_BY["customer"])
     current = read_table(spark, path, CUSTOMER)
     register(spark, {CUSTOMER.name: current})
     return current, unmatched_updates(customer, updates)

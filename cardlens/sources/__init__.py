@@ -1,8 +1,9 @@
 from cardlens.sources.jdbc import JdbcOptions, read_jdbc, write_jdbc
 from cardlens.sources.json_files import read_dataset
 from cardlens.sources.tables import load_all, read_table, register, write_table
+from cardlens.sources.versions import Store, VersionConflict
 
 __all__ = [
-    "JdbcOptions", "load_all", "read_dataset", "read_jdbc", "read_table", "register", "write_jdbc",
-    "write_table",
+    "JdbcOptions", "Store", "VersionConflict", "load_all", "read_dataset", "read_jdbc", "read_table", "register",
+    "write_jdbc", "write_table",
 ]

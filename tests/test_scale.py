@@ -47,6 +47,14 @@ def test_salted_join_spreads_a_hot_key(facts, lookup, conf):
     assert max(r["count"] for r in spread) < 0.3 * sum(r["count"] for r in spread)
 
 
+def test_a_column_named_like_the_salt_stays(facts, lookup, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    mine = facts.withColumn("_salt", F.col("id") * 2)
+    joined = shuffle_join(mine, lookup, "k", ["id"])
+    assert joined.columns == ["k", "id", "_salt", "v"]
+    assert joined.where(F.col("_salt") != F.col("id") * 2).isEmpty() and joined.count() == facts.join(lookup, "k").count()
+
+
 def test_hot_keys_are_found_and_few(spark, facts):
     assert hot_keys(facts.where("id % 2 = 0 OR k IS NULL"), "k") == [1, None]
     even = spark.range(100_000).select(F.pmod(F.col("id"), F.lit(1000)).alias("k"))

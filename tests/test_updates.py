@@ -98,3 +98,11 @@ def test_update_violations(spark):
     df = spark.createDataFrame([(1, "x" * 51, "n/a"), (2, "ok", "07501")], "SSN int, FIRST_NAME string, CUST_ZIP string")
     found = rows(update_violations(df, columns=["FIRST_NAME", "CUST_ZIP"]))
     assert sorted(found) == [(1, "CUST_ZIP", "n/a", "type"), (1, "FIRST_NAME", "x" * 51, "length")]
+
+
+def test_columns_named_like_those_an_update_adds(spark, size):
+    base = spark.createDataFrame([(1, "a", "b", "c"), (2, "d", "e", "f")], "SSN int, _n string, _update string, _salt string")
+    updates = spark.createDataFrame([(2, 1, "x", "y"), (2, 2, "z", None)], "SSN int, seq int, _n string, _update string")
+    result = apply_updates(base, updates, columns=["_n", "_update"], stamp=None)
+    assert result.columns == base.columns
+    assert sorted(rows(result)) == [(1, "a", "b", "c"), (2, "z", None, "f")]
