@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # for a driver started elsewhere
 
 from cardlens import functions as fn, operators as op, standins as st
-from cardlens.plans import insights, loading, reports, versions
+from cardlens.plans import insights, loading, reports, rollup, versions
 from cardlens.schemas import CORRUPT, CREDIT, CUSTOMER, LOAN_TABLE, UPDATABLE, TableSchema
 from cardlens.session import shared_path
-from cardlens.sources import Store, load_all, read_dataset, read_table, write_table
+from cardlens.sources import Store, load_all, month_counts, read_dataset, read_table, save_buckets, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -482,6 +483,82 @@ def version_branch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.branch_totals(tables["CDW_SAPP_BRANCH"], tables[CREDIT.name], "NATION_15")
 
 
+# --- Stored partial totals ---
+
+
+def _rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions rolled up by month, then those of March 1997 a second time, of which only that month is
+    rolled up again."""
+    table, path = shared_path(spark, "credit"), shared_path(spark, "rollup")
+    credit = op.apply_schema(op.clean_credit(st.orders_as_raw_credit(spark, sf_dir)), CREDIT)
+    write_table(credit, table, CREDIT.month_of)
+    rollup.refresh_rollup(read_table(spark, table, CREDIT), path)
+    march = credit.where(F.col("TIMEID").startswith("199703")).withColumn("ym", F.lit("199703"))
+    march.write.mode("append").partitionBy("ym").parquet(table)
+    rollup.refresh_rollup(read_table(spark, table, CREDIT), path)
+    return rollup.read_rollup(spark, path)
+
+
+_MARCH_TWICE = f"(SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE LEFT({_TIMEID}, 6) = '199703')"
+
+
+@_query(f"""
+    SELECT CAST(s_suppkey AS INTEGER) AS "BRANCH_CODE", COUNT(o_orderkey) AS "TOTAL_NUMBER_OF_TRANSACTIONS",
+           {_money('o_totalprice')} AS "TOTAL_VALUE_OF_TRANSACTIONS"
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN {_MARCH_TWICE} ON o_custkey % 100 = s_suppkey
+    WHERE n_name = 'NATION_15' GROUP BY s_suppkey""")
+def rolled_branch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.rolled_branch_totals(st.supplier_as_branch(spark, sf_dir), _rolled(spark, sf_dir), "NATION_15")
+
+
+@_query(f"""
+    SELECT o_orderpriority AS "TRANSACTION_TYPE", COUNT(*) AS "NUMBER_OF_TRANSACTIONS",
+           {_money('o_totalprice')} AS "TOTAL_VALUE_OF_TRANSACTIONS"
+    FROM {_MARCH_TWICE} WHERE o_orderpriority = '5-LOW' GROUP BY o_orderpriority""")
+def rolled_type_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.rolled_type_totals(_rolled(spark, sf_dir), "5-LOW")
+
+
+@_query(f"""
+    SELECT CAST(o_custkey % 100 AS INTEGER) AS "BRANCH_CODE", {_money('o_totalprice')} AS "Total_value"
+    FROM {_MARCH_TWICE} WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey % 100
+    ORDER BY "Total_value" DESC, "BRANCH_CODE" LIMIT 20""")
+def rolled_top_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.rolled_top_branches(_rolled(spark, sf_dir), "1-URGENT")
+
+
+@_query(f"""
+    SELECT strftime(o_orderdate, '%m') AS "Month", COUNT(*) AS "Volume",
+           MONTHNAME(ANY_VALUE(o_orderdate)) AS "Month_N",
+           DENSE_RANK() OVER (ORDER BY COUNT(*) DESC) <= 3 AS is_top
+    FROM {_MARCH_TWICE} GROUP BY strftime(o_orderdate, '%m') ORDER BY 1""")
+def rolled_volume_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.rolled_volume_by_month(_rolled(spark, sf_dir))
+
+
+@_query(f"""SELECT LEFT({_TIMEID}, 6) AS ym, COUNT(*) AS n FROM orders GROUP BY LEFT({_TIMEID}, 6)""")
+def month_counts_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions of each month, from what the files of the stored table say of themselves."""
+    path = shared_path(spark, "credit")
+    write_table(op.apply_schema(op.clean_credit(st.orders_as_raw_credit(spark, sf_dir)), CREDIT), path, CREDIT.month_of)
+    return month_counts(spark, path)
+
+
+@_query("""
+    SELECT SUBSTR(p_name, 1, 4) || CAST(p_partkey AS VARCHAR) AS "CREDIT_CARD_NO", CAST(p_partkey AS INTEGER) AS "SSN", p_brand AS "FIRST_NAME"
+    FROM part WHERE p_partkey = 77""")
+def stored_account_by_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer of a stored table, sorted by SSN, looked up by card; Bloom filters tell the row groups."""
+    path = shared_path(spark, "accounts")
+    card = F.concat(F.substring("p_name", 1, 4), F.col("p_partkey").cast("string"))
+    rows = st.read(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("int").alias("SSN"), card.alias("CREDIT_CARD_NO"), F.col("p_brand").alias("FIRST_NAME")
+    )
+    write_table(rows, path, None, ["SSN"], ["CREDIT_CARD_NO"])
+    wanted = rows.where("SSN = 77").first()["CREDIT_CARD_NO"]
+    return reports.customer_account(read_table(spark, path), card=wanted)
+
+
 # --- Reports ---
 
 
@@ -504,6 +581,15 @@ def transactions_by_zip_month_shuffled(spark: SparkSession, sf_dir: str) -> Data
     return reports.transactions_by_zip_month(credit, customer, 7, 1997, 3, max_broadcast_bytes=-1)
 
 
+@_query(_ORACLES["transactions_by_zip_month"])
+def transactions_by_zip_month_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report on tables stored in buckets of the customer."""
+    root, name = shared_path(spark, "buckets"), f"buckets_{uuid.uuid4().hex}"
+    credit = save_buckets(st.orders_as_credit(spark, sf_dir), f"credit_{name}", f"{root}/credit", "CUST_SSN", 8)
+    customer = save_buckets(st.customer_as_customer(spark, sf_dir), f"customer_{name}", f"{root}/customer", "SSN", 8, apart=False)
+    return reports.stored_transactions_by_zip_month(credit, customer, "07", 1997, 3)
+
+
 @_query(f"""
     SELECT o_orderpriority AS "TRANSACTION_TYPE", COUNT(*) AS "NUMBER_OF_TRANSACTIONS",
            {_money('o_totalprice')} AS "TOTAL_VALUE_OF_TRANSACTIONS"
@@ -646,6 +732,12 @@ def top_branches_for_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.top_branches(st.lineitem_as_credit(spark, sf_dir), "R")
 
 
+@_query(_ORACLES["top_customers"])
+def top_customers_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the customers that cannot be among the first left out before the shuffle."""
+    return op.top_by_sum_pruned(st.orders_as_credit(spark, sf_dir), "CUST_SSN", "TRANSACTION_VALUE", 10, "HIGHEST_AMOUNT")
+
+
 @_query("""
     SELECT strftime(o_orderdate, '%m') AS "Month", COUNT(*) AS "Volume",
            MONTHNAME(ANY_VALUE(o_orderdate)) AS "Month_N",
@@ -750,3 +842,28 @@ def union_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     married = insights.rejected_by(loan, "Married").withColumnRenamed("Married", "answer")
     gender = insights.rejected_by(loan, "Gender", F.col("Married") == "Yes").withColumnRenamed("Gender", "answer")
     return married.unionByName(gender)
+
+
+_FULL_LOAN = f"(SELECT quality, toxic, lang FROM {_LABELLED})"
+
+
+def _chart_sql(name: str, slice_sql: str, where: str, counted: str = "COUNT(slice)", nulls: bool = True) -> str:
+    keep = "" if nulls else "WHERE slice IS NOT NULL"
+    return f"""
+        SELECT '{name}' AS chart, slice, {counted} AS n FROM (SELECT {slice_sql} AS slice FROM {_FULL_LOAN} WHERE {where})
+        {keep} GROUP BY slice"""
+
+
+@_query("WITH c AS (" + " UNION ALL ".join([
+    _chart_sql("status", "CASE quality WHEN 1 THEN 'Y' ELSE 'N' END", "TRUE"),
+    _chart_sql("approved by employment", "CASE toxic WHEN 0 THEN 'No' ELSE 'Yes' END", "quality = 1"),
+    _chart_sql("rejected by marriage", "CASE toxic WHEN 0 THEN 'Yes' ELSE 'No' END", "quality <> 1"),
+    _chart_sql("married and rejected by gender", "CASE lang WHEN 'en' THEN 'Female' WHEN 'fr' THEN 'Male' END", "quality <> 1 AND toxic = 0"),
+    _chart_sql("approval", _APPROVAL_CASE, "TRUE", nulls=False),
+    _chart_sql("approval of approved", _APPROVAL_CASE, "quality = 1", nulls=False),
+    _chart_sql("rejection", _REJECTION_CASE, "TRUE", nulls=False),
+    _chart_sql("rejection of rejected", _REJECTION_CASE, "quality = 0", nulls=False),
+]) + """) SELECT chart, slice, n AS "COUNT", CAST(n AS DOUBLE) / CAST(SUM(n) OVER (PARTITION BY chart) AS DOUBLE) AS share FROM c""")
+def loan_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All charts of the loan applications from one scan."""
+    return insights.loan_charts(st.labelled_documents_as_full_loan(spark, sf_dir))

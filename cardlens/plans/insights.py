@@ -87,3 +87,47 @@ def rejection_composition(loan: DataFrame, with_approved: bool = True) -> DataFr
     """Rejections by marriage and gender, beside the approved applications or alone."""
     rows = loan if with_approved else loan.where(F.col("Application_Status") == "N")
     return composition(rows, rejection_slice())
+
+
+# The names of the charts. Those in ``_COUNTED`` count a column's values, so that null counts 0;
+# the others are compositions, which leave null slices out.
+_COUNTED = ("status", "approved by employment", "rejected by marriage", "married and rejected by gender")
+
+
+def loan_charts(loan: DataFrame) -> DataFrame:
+    """All loan charts as ``chart, slice, COUNT, share``, from one scan.
+
+    Grouping sets count the applications by status, by status and each further answer; what is null in a row because its
+    set leaves the column out is told from a null answer by the grouping id. Every chart then is made of those few
+    rows: ``status`` as in ``status_counts``, ``approved by employment`` as in ``approved_by``, ``rejected by marriage`` and
+    ``married and rejected by gender`` as in ``rejected_by``, and the four compositions. Shares are null where a chart
+    counts nothing.
+    """
+    status, employed, married, gender = columns = ("Application_Status", "Self_Employed", "Married", "Gender")
+    sets = [[status], [status, employed], [status, married], [status, married, gender]]
+    counts = loan.groupingSets(sets, *columns).agg(F.grouping_id().alias("set"), F.count("*").alias("n"))
+
+    def of(kept: list[str]) -> Column:
+        return F.col("set") == sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in kept)
+
+    accepted, refused = F.col(status) == "Y", F.col(status) == "N"
+    charts = [
+        ("status", of(sets[0]), F.col(status)),
+        ("approved by employment", of(sets[1]) & accepted, F.col(employed)),
+        ("rejected by marriage", of(sets[2]) & refused, F.col(married)),
+        ("married and rejected by gender", of(sets[3]) & refused & (F.col(married) == "Yes"), F.col(gender)),
+        ("approval", of(sets[1]), approval_slice()),
+        ("approval of approved", of(sets[1]) & accepted, approval_slice()),
+        ("rejection", of(sets[3]), rejection_slice()),
+        ("rejection of rejected", of(sets[3]) & refused, rejection_slice()),
+    ]
+    entries = []
+    for name, where, part in charts:
+        counted = F.when(part.isNotNull(), F.col("n")).otherwise(F.lit(0))
+        wanted = where if name in _COUNTED else where & part.isNotNull()
+        entries.append(F.when(wanted, F.struct(F.lit(name).alias("chart"), part.alias("slice"), counted.alias("n"))))
+    rows = counts.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("chart", "slice").agg(F.sum("n").alias("COUNT"))
+    totals = rows.groupBy("chart").agg(F.sum("COUNT").alias("total"))
+    return rows.join(F.broadcast(totals), "chart").select(  # a row a chart
+        "chart", "slice", "COUNT", F.try_divide(F.col("COUNT").cast("double"), F.col("total")).alias("share")
+    )

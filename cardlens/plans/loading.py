@@ -14,6 +14,8 @@ from cardlens.sources.tables import read_table, register, write_table
 
 # Sort inside the files of a table, by the column its look-ups filter on.
 CLUSTER_BY = {"credit": ("CUST_CC_NO", "TIMEID"), "customer": ("SSN",)}
+# The columns that single values are looked up in, beside those the files are sorted by.
+LOOKED_UP = {"credit": ("CUST_CC_NO",), "customer": ("CREDIT_CARD_NO",)}
 
 
 class LoadRejected(ValueError):
@@ -40,7 +42,9 @@ def load_table(spark: SparkSession, dataset: str, raw: DataFrame, path: str) ->
     if table is None:
         write_table(counted.drop(CORRUPT), path)
     else:
-        write_table(apply_schema(counted, table), path, table.month_of, CLUSTER_BY.get(dataset, ()))
+        write_table(
+            apply_schema(counted, table), path, table.month_of, CLUSTER_BY.get(dataset, ()), LOOKED_UP.get(dataset, ())
+        )
     broken = {rule: n for rule, n in seen.get.items() if n} if rules else {}
     if broken:
         raise LoadRejected(f"{dataset}: {broken}; below {path}")
@@ -83,7 +87,7 @@ def update_customers(
     written; ``update_violations`` lists the latter.
     """
     refuse_updates(updates, seq)
-    write_table(apply_updates(customer, updates, seq=seq, as_of=as_of), path, None, CLUSTER_BY["customer"])
+    write_table(apply_updates(customer, updates, seq=seq, as_of=as_of), path, None, CLUSTER_BY["customer"], LOOKED_UP["customer"])
     current = read_table(spark, path, CUSTOMER)
     register(spark, {CUSTOMER.name: current})
     return current, unmatched_updates(customer, updates)

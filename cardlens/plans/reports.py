@@ -8,6 +8,7 @@ from cardlens.functions import in_month, in_range, money_sum, money_total
 from cardlens.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from cardlens.params import parse_card, parse_date_bound, parse_month, parse_ssn, parse_zip
 from cardlens.schemas import MONTH_COLUMN
+from cardlens.sources.buckets import Buckets, join_buckets
 
 
 def transactions_by_zip_month(
@@ -36,6 +37,26 @@ def transactions_by_zip_month(
     )
 
 
+def stored_transactions_by_zip_month(
+    credit: Buckets, customer: Buckets, zip_code: int | str, year: int | str, month: int | str
+) -> DataFrame:
+    """``transactions_by_zip_month`` of tables stored in buckets of the customer: neither side is shuffled or
+    broadcast, and customers with much of all transactions are read by many tasks."""
+    wanted = F.col("CUST_ZIP") == parse_zip(zip_code)
+    yyyymm = parse_month(year, month)
+    joined = join_buckets(
+        credit, customer,
+        lambda df: df.where(in_month(df, yyyymm)).select(
+            "CUST_SSN", "CUST_CC_NO", "TIMEID", "TRANSACTION_VALUE", "TRANSACTION_ID"
+        ),
+        lambda df: df.where(wanted).select("SSN", "CUST_ZIP"),
+        ["TRANSACTION_ID"],
+    )
+    return joined.orderBy(F.desc("TIMEID"), "TRANSACTION_ID").select(
+        "CUST_SSN", "CUST_CC_NO", "CUST_ZIP", "TIMEID", "TRANSACTION_VALUE"
+    )
+
+
 def type_totals(credit: DataFrame, transaction_type: str) -> DataFrame:
     """Number and value of the transactions of one type; no row for an unknown type."""
     return (

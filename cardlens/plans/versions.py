@@ -12,7 +12,7 @@ from cardlens.operators.clean import clean
 from cardlens.operators.joins import fits_broadcast, lookup_join
 from cardlens.operators.quality import apply_schema, broken_rules, key_violations, typed_value
 from cardlens.operators.updates import apply_updates, unmatched_updates
-from cardlens.plans.loading import CLUSTER_BY, LoadRejected, refuse_updates
+from cardlens.plans.loading import CLUSTER_BY, LOOKED_UP, LoadRejected, refuse_updates
 from cardlens.schemas import CORRUPT, CUSTOMER, LOAN_TABLE, TABLES, TableSchema
 from cardlens.sources.tables import register, write_table
 from cardlens.sources.versions import Store
@@ -44,7 +44,7 @@ def _write_checked(store: Store, dataset: str, raw: DataFrame) -> str:
     given = cleaned.drop(CORRUPT).columns
     values = [typed_value(cleaned, table, c).alias(c) for c in table.columns] if table else [F.col(c) for c in given]
     rows = cleaned.select(*values, mask.alias(bits))
-    key = _key(table)
+    key, clustered, looked_up = _key(table), CLUSTER_BY.get(dataset, ()), LOOKED_UP.get(dataset, ())
     if key:
         rows = rows.repartitionByRange(key)
     seen = Observation(f"load {dataset}")
@@ -52,10 +52,7 @@ def _write_checked(store: Store, dataset: str, raw: DataFrame) -> str:
         counts = [F.count_if(F.col(bits).bitwiseAND(1 << i) != 0).alias(name) for i, name in enumerate(rules)]
         rows = rows.observe(seen, *counts)
     rows = rows.drop(bits)
-    if key:
-        rows.sortWithinPartitions(key).write.parquet(path)
-    else:
-        write_table(rows, path, table.month_of if table else None, CLUSTER_BY.get(dataset, ()))
+    write_table(rows, path, table.month_of if table else None, clustered, looked_up)
     broken = {rule: n for rule, n in seen.get.items() if n} if rules else {}
     if broken:
         raise LoadRejected(f"{dataset}: {broken}; below {path}")
@@ -150,7 +147,7 @@ def update_version(
         return base, unmatched_updates(part, updates)
     path = store.new_path(CUSTOMER.name)
     changed = apply_updates(part, updates, seq=seq, as_of=as_of)
-    changed.repartitionByRange("SSN").sortWithinPartitions("SSN").write.parquet(path)
+    write_table(changed.repartitionByRange("SSN"), path, None, CLUSTER_BY["customer"], LOOKED_UP["customer"])
     # The list of files is as long as the table's own; the touched ones are some of them.
     gone = store.spark.createDataFrame([(f,) for f in files], "file string")
     stay = store.files(CUSTOMER.name, base).join(gone, "file", "left_anti").select("table", "file", "rows", "first_key", "last_key")

@@ -155,3 +155,9 @@ def labelled_documents_as_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("toxic") == 0, "Yes").otherwise("No").alias("Married"),
         F.when(lang == "en", "Female").when(lang == "fr", "Male").alias("Gender"),
     )
+
+
+def labelled_documents_as_full_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with all answers: toxic is the self-employed flag too."""
+    answer = F.when(F.col("Married") == "No", "Yes").otherwise("No")
+    return labelled_documents_as_loan(spark, sf_dir).withColumn("Self_Employed", answer)
