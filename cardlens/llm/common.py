@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 (binds pa.compute)
 from pyspark.sql import DataFrame, SparkSession
@@ -74,17 +75,48 @@ class Remembered(dict):
         self._limit = limit
         self._older: dict[str, bytes] = {}
 
-    def unknown(self, wanted: set[str]) -> set[str]:
-        """Those of ``wanted`` that have to be learnt; the others are entries from here on."""
+    def age(self) -> None:
+        """Past the limit, the entries become the older ones."""
         if len(self) > self._limit:
             self._older = dict(self)
             self.clear()
+
+    def unknown(self, wanted: set[str]) -> set[str]:
+        """Those of ``wanted`` that have to be learnt; the others are entries until the next ``age``."""
         missing = wanted - self.keys()
         again = self._older.keys() & missing
         self.update((w, self._older[w]) for w in again)
         return missing - again
 
 
+def joined(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` that start at ``starts``, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return values[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+def as_strings(texts: list[str] | pa.Array) -> pa.Array:
+    return texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+
+
+def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Texts cut at spaces: where the words of each begin, the number of each word, and the different words."""
+    cut = pa.compute.split_pattern(texts, " ")
+    ends = np.append(0, np.cumsum(pa.compute.list_value_length(cut).to_numpy(zero_copy_only=False)))
+    coded = cut.flatten().dictionary_encode()
+    return ends, coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+
+def packed_words(packed: list[bytes], numbers: np.ndarray, ends: np.ndarray, width: int) -> list[bytes]:
+    """Of each text the packed ids of its words, by the numbers of the words; ``packed`` holds each word's."""
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // width
+    ids = np.frombuffer(b"".join(packed), f"<u{width}")
+    own = sizes[numbers]
+    whole = joined(ids, (np.cumsum(sizes) - sizes)[numbers], own).tobytes()
+    bounds = (np.append(0, np.cumsum(own))[ends] * width).tolist()
+    return [whole[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 _KEPT: list[tuple[object, object]] = []
 
 

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlens.llm.common import Remembered, kept, slices, unused
+from cardlens.llm.common import Remembered, as_strings, kept, packed_words, slices, split, unused
 
 _MANIFEST = "part int, file string, documents long, ids long, first_document long, first_id long, width int"
 # Latin letters that no normalisation of Unicode composes or splits; signs and digits that may follow them.
@@ -45,7 +45,7 @@ class WordEncoder:
     the rest are encoded on their own, and the letters go to the tokenizer's model at once.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 200_000):
+    def __init__(self, tokenizer: str, limit: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -53,8 +53,7 @@ class WordEncoder:
         self.vocabulary = self._tokenizer.get_vocab_size()
         self.width = 2 if self.vocabulary <= 1 << 16 else 4
         self._known = Remembered(limit)
-        self._letters = Remembered(limit)
-        self._rests = Remembered(limit)  # what stands behind the letters
+        self._rests = Remembered(limit // 2)  # what stands behind the letters
         self._spelled: dict[int, str] = {}  # the character that stands for each byte of a run of letters
         self._parts_letters = self._keeps_letters()
 
@@ -80,10 +79,10 @@ class WordEncoder:
         return run.lower() if run.isascii() else run.lower().encode().decode("latin-1").translate(self._spelled)
 
     def _learn_letters(self, runs: set[str]) -> None:
-        letters, spell = self._letters, self._spell
+        known, spell = self._known, self._spell
         tokenize, pack = self._tokenizer.model.tokenize, self._pack
-        for run in letters.unknown(runs):
-            letters[run] = pack([t.id for t in tokenize(spell(run))])
+        for run in runs:
+            known[run] = pack([t.id for t in tokenize(spell(run))])
 
     def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
         found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -96,19 +95,21 @@ class WordEncoder:
             numbers.byteswap()
         return numbers.tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, packed."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self._known.unknown(set().union(*words))
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text, packed. A word is looked up once, however often the texts hold it."""
+        ends, numbers, words = split(pa.compute.replace_substring(as_strings(texts), "\n", " "))
+        self._known.age()
+        self._rests.age()
+        new = self._known.unknown(set(words))
         if self._parts_letters:
-            cut = {w: parts.groups("") for w, parts in zip(new, map(_LETTERS_FIRST, new)) if parts}
-            self._learn_letters({run for run, _ in cut.values()})
-            rests = {rest for _, rest in cut.values()}
-            self._learn(list(self._rests.unknown(rests)), self._rests)
-            self._known.update((w, self._letters[run] + self._rests[rest]) for w, (run, rest) in cut.items())
-            new -= cut.keys()
+            letters = set(filter(_LETTERS.fullmatch, new))
+            cut = {w: parts.groups("") for w, parts in ((w, _LETTERS_FIRST(w)) for w in new - letters) if parts}
+            self._learn_letters(letters | self._known.unknown({run for run, _ in cut.values()}))
+            self._learn(list(self._rests.unknown({rest for _, rest in cut.values()})), self._rests)
+            self._known.update((w, self._known[run] + self._rests[rest]) for w, (run, rest) in cut.items())
+            new -= letters | cut.keys()
         self._learn(list(new), self._known)
-        return [b"".join(map(self._known.__getitem__, w)) for w in words]
+        return packed_words(list(map(self._known.__getitem__, words)), numbers, ends, self.width)
 
 
 def _encoder(tokenizer: str) -> WordEncoder:
@@ -160,9 +161,9 @@ def write_token_files(
         documents, offsets = [], [0]
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{name}.ids") as out:
-            for batch in slices(batches, text, 1 << 20):
+            for batch in slices(batches, text, 4 << 20):
                 documents += [NO_ID if d is None else d for d in batch[doc_id].to_pylist()]
-                for ids in encoder.encode([t or "" for t in batch[text].to_pylist()]):
+                for ids in encoder.encode(pa.compute.fill_null(batch[text], "")):
                     out.write(ids + end)
                     offsets.append(offsets[-1] + (len(ids) + len(end)) // encoder.width)
         for kind, numbers in (("offsets", offsets), ("docs", documents)):
