@@ -9,14 +9,14 @@ encoded in ``n log n``, and the result is that of taking the lowest, leftmost pa
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from cardlens.llm.common import Remembered, kept, slices
+from cardlens.llm.common import Remembered, as_strings, joined, kept, packed_words, slices, split
 
 _NONE = 1 << 62  # no pair, or a pair that has no rank
 _POSITION_BITS = 40
@@ -159,7 +159,7 @@ class Encoder:
     unit is cut by the pattern from its start to its end. ``pattern`` must have that property.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 40_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, limit: int = 40_000, words: int = 120_000):
         self.ranks = ranks
         # The white space of Unicode; the engine's own class also takes four control characters for it.
         self._find = regex.compile(
@@ -168,51 +168,74 @@ class Encoder:
         ).findall
         self._space = regex.compile(r"\p{White_Space}").match
         self._merges = Merges(ranks)
+        self.tokens = Tokens(ranks)
         self._matches = Remembered(limit)
-        self._words = Remembered(limit)
+        self._words = Remembered(words)
 
-    def _learn(self, matches: set[str]) -> None:
-        """Encode the matches that are not remembered yet, those of like length together."""
-        by_width: dict[int, list[str]] = {}
-        for match in self._matches.unknown(matches):
+    def _learn(self, matches: dict[str, str], known: dict[str, bytes]) -> None:
+        """Encode matches, those of like length together; ``known`` gets the ids under the name of each."""
+        by_width: dict[int, list[tuple[str, bytes]]] = {}
+        for name, match in matches.items():
             piece = match.encode()
             rank = self.ranks.get(piece)
             if rank is not None:
-                self._matches[match] = rank.to_bytes(4, "little")
+                known[name] = rank.to_bytes(4, "little")
             elif len(piece) > 128:
-                self._matches[match] = np.array(merge(piece, self.ranks), "<u4").tobytes()
+                known[name] = np.array(merge(piece, self.ranks), "<u4").tobytes()
             else:
-                by_width.setdefault(max(4, 1 << (len(piece) - 1).bit_length()), []).append(match)
+                by_width.setdefault(max(4, 1 << (len(piece) - 1).bit_length()), []).append((name, piece))
         for width, group in by_width.items():
             step = (1 << 19) // width
             for i in range(0, len(group), step):
                 part = group[i:i + step]
-                self._matches.update(zip(part, self._merges.merge([m.encode() for m in part], width)))
+                known.update(zip([n for n, _ in part], self._merges.merge([p for _, p in part], width)))
 
     def _cut(self, word: str) -> list[str]:
-        if word.isalpha():
-            return [f" {word}"]
         if word[-1] in ",.!?;:" and word[:-1].isalpha():
             return [f" {word[:-1]}", word[-1]]
         return self._find(f" {word}")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text, packed. A unit is looked up once, however often the texts hold it."""
         words, matches = self._words, self._matches
-        units = [t.split(" ") for t in texts]
-        new = words.unknown(set().union(*(u[1:] for u in units)))
+        texts = as_strings(texts)
+        ends, numbers, units = split(texts)
+        later = np.ones(len(numbers), bool)
+        later[ends[:-1]] = False  # the first unit of a text has no space in front
+        later_units = np.zeros(len(units), bool)
+        later_units[numbers[later]] = True
+        words.age()
+        matches.age()
+        new = words.unknown({u for u, it in zip(units, later_units.tolist()) if it})
         unsafe = {w for w in new if not w or self._space(w[0]) or self._space(w[-1])}
-        cuts = {w: self._cut(w) for w in new - unsafe}
+        new -= unsafe
+        alone = {w: f" {w}" for w in new if w.isalpha()}
+        cuts = {w: self._cut(w) for w in new - alone.keys()}
+
+        # Texts with an unsafe unit are cut as a whole; of the others the first unit is.
+        odd_unit = np.fromiter((u in unsafe for u in units), bool, len(units))
+        odd = np.append(0, np.cumsum(odd_unit[numbers] & later))
+        first = [units[n] for n in numbers[ends[:-1]].tolist()]
+        several = (ends[1:] - ends[:-1] > 1).tolist()
+        unsafe_text = (odd[ends[1:]] > odd[ends[:-1]]).tolist()
         whole = {
-            i: self._find(t) for i, (t, u) in enumerate(zip(texts, units))
-            if len(u) > 1 and (not u[0] or self._space(u[0][-1]) or not unsafe.isdisjoint(u[1:]))
+            i: self._find(texts[i].as_py()) for i, (u, more, bad) in enumerate(zip(first, several, unsafe_text))
+            if more and (bad or not u or self._space(u[-1]))
         }
-        starts = [None if i in whole else self._find(u[0]) for i, u in enumerate(units)]
-        self._learn(set().union(*cuts.values(), *whole.values(), *filter(None, starts)))
+        starts = [None if i in whole else self._find(u) for i, u in enumerate(first)]
+        wanted = matches.unknown(set().union(*cuts.values(), *whole.values(), *filter(None, starts)))
+        self._learn({m: m for m in wanted}, matches)
+        self._learn(alone, words)
         words.update((w, b"".join(map(matches.__getitem__, cut))) for w, cut in cuts.items())
+
+        none = [it and u not in unsafe for u, it in zip(units, later_units.tolist())]
+        packed = [words[u] if it else b"" for u, it in zip(units, none)]
+        begins = np.insert(ends[1:] - np.cumsum(np.ones(len(first), np.int64)), 0, 0)
+        rest = packed_words(packed, numbers[later], begins, 4)
+        get = matches.__getitem__
         return [
-            b"".join(map(matches.__getitem__, whole[i])) if i in whole else
-            b"".join(map(matches.__getitem__, starts[i])) + b"".join(map(words.__getitem__, u[1:]))
-            for i, u in enumerate(units)
+            b"".join(map(get, whole[i])) if i in whole else b"".join(map(get, starts[i])) + rest[i]
+            for i in range(len(first))
         ]
 
 
@@ -237,15 +260,35 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(table.value, pattern)
-        for batch in slices(batches, text, 1 << 20):
-            packed = encoder.encode([t or "" for t in batch[text].to_pylist()])
+        for batch in slices(batches, text, 4 << 20):
+            packed = encoder.encode(pa.compute.fill_null(batch[text], ""))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], [*batch.schema.names, out])
 
     return df.mapInArrow(run, schema)
 
 
-def _bytes_of(packed: bytes | None, token: Callable[[int], bytes]) -> bytes:
-    return b"".join(map(token, np.frombuffer(packed or b"", "<u4").tolist()))
+class Tokens:
+    """The bytes of every token in one array, to decode many ids at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_id = {rank: token for token, rank in ranks.items()}
+        listed = [by_id.get(i) for i in range(max(by_id, default=-1) + 1)]
+        self._missing = np.array([t is None for t in listed] or [True])
+        self._sizes = np.array([len(t or b"") for t in listed] or [0], np.int64)
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._bytes = np.frombuffer(b"".join([t or b"" for t in listed]), np.uint8)
+
+    def decode(self, packed: list[bytes | None]) -> list[bytes]:
+        """The bytes that each list of packed ids stands for. An id without a token is an error."""
+        packed = [p or b"" for p in packed]
+        ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
+        lost = ids >= len(self._missing)
+        if lost.any() or self._missing[ids].any():
+            raise KeyError(int(ids[lost][0] if lost.any() else ids[self._missing[ids]][0]))
+        sizes = self._sizes[ids]
+        whole = joined(self._bytes, self._starts[ids], sizes).tobytes()
+        bounds = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(p) // 4 for p in packed])).astype(np.int64)].tolist()
+        return [whole[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 def encode_and_decode(
@@ -267,11 +310,10 @@ def encode_and_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(table.value, pattern)
-        token = {rank: token for token, rank in encoder.ranks.items()}.__getitem__
-        for batch in slices(batches, text, 1 << 20):
-            packed = encoder.encode([t or "" for t in batch[text].to_pylist()])
+        for batch in slices(batches, text, 4 << 20):
+            packed = encoder.encode(pa.compute.fill_null(batch[text], ""))
             columns = [batch[f.name] for f in others]
-            columns += [pa.array(packed, pa.binary()), pa.array([_bytes_of(x, token) for x in packed], pa.binary())]
+            columns += [pa.array(packed, pa.binary()), pa.array(encoder.tokens.decode(packed), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return df.mapInArrow(run, schema)
@@ -285,14 +327,13 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str =
     kept = [f for f in df.schema.fields if f.name != ids]
     if out in [f.name for f in kept]:
         raise ValueError(f"there is a column {out!r} already")
-    tokens = {rank: token for token, rank in ranks.items()}
-    table = df.sparkSession.sparkContext.broadcast(tokens)
+    table = df.sparkSession.sparkContext.broadcast(ranks)
     schema = T.StructType([*kept, T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = table.value.__getitem__
-        for batch in slices(batches, ids):
-            whole = [_bytes_of(x, token) for x in batch[ids].to_pylist()]
+        tokens = Tokens(table.value)
+        for batch in slices(batches, ids, 1 << 20):
+            whole = tokens.decode(batch[ids].to_pylist())
             columns = [batch[f.name] for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(whole, pa.binary())], [f.name for f in kept] + [out])
 
