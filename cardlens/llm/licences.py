@@ -187,7 +187,7 @@ def scan(
     A notice is a stretch whose coefficient is ``least`` or more; of stretches that overlap, and of licences
     that one stretch resembles, the best is reported (ties: the longer template, the first stretch, the first name). Texts are
     scanned whole, those without a notice have no row, nor have null and empty ones; rows that repeat a
-    document are each reported. Other columns play no part.
+    document are each reported; an empty table or an empty set of templates has an empty result. Other columns play no part.
     """
     schema = "doc_id long, licence string, dice double, begin long, end long"
     given = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -195,6 +195,8 @@ def scan(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = known_templates
+        if not ready.names:
+            return
         number = {t: i + 1 for i, t in enumerate(sorted({w for g in ready.grams for pair in g for w in pair}))}
         width = len(number) + 1
         pairs = sorted({number[a] * width + number[b] for g in ready.grams for a, b in g})
@@ -211,7 +213,7 @@ def scan(
                 seen = np.unique(ids[both] * width + ids[both + 1])
                 # A notice shares at least as many bigrams with its template as the lower size bound.
                 if np.isin(seen, pairs).sum() >= needed:
-                    rows += [(doc, *found) for found in ready.find(whole)]
+                    rows += [(doc, *found) for found in ready.find(whole or "")]
             if rows:
                 kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "licence", "dice", "begin", "end"])
