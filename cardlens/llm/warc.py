@@ -17,6 +17,12 @@ from cardlens.operators.joins import lookup_join
 _VERSION = "WARC/1.1"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _EOL = "\r\n"
+# The characters that some reader takes for the end of a line, and their UTF-8 bytes percent-encoded.
+_LINE_ENDS = {
+    "\n": "%0A", "\v": "%0B", "\f": "%0C", "\r": "%0D", "\x1c": "%1C", "\x1d": "%1D", "\x1e": "%1E", "\x85": "%C2%85",
+    "\u2028": "%E2%80%A8", "\u2029": "%E2%80%A9",
+}
+_ESCAPED = "X-Target-URI-Escaped"
 _HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -24,6 +30,21 @@ def _line(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit(_EOL))
 
 
+def _escaped(url: Column) -> Column:
+    """On one line: percent signs and line ends as their codes."""
+    url = F.replace(url, F.lit("%"), F.lit("%25"))
+    for end, code in _LINE_ENDS.items():
+        url = F.replace(url, F.lit(end), F.lit(code))
+    return url
+
+
+def _plain(url: Column) -> Column:
+    """What ``_escaped`` was given."""
+    for end, code in _LINE_ENDS.items():
+        url = F.replace(url, F.lit(code), F.lit(end))
+    return F.replace(url, F.lit("%25"), F.lit("%"))
+
+
 def _record_id(record: Column) -> Column:
     return F.concat(F.lit("<urn:record:"), record.cast("string"), F.lit(">"))
 
@@ -42,8 +63,9 @@ def write_archive(
     The payload is the text in UTF-8; a null text is an empty payload, a null url an empty target. Of the
     records whose payloads are equal and have ``least`` bytes or more, the one with the largest page id (of
     rows that repeat it, the last) is a response; the others are revisits of it. All smaller ones are
-    responses. A null page id is smaller than any other and is written as an empty header value. Line ends
-    in a url would break a header and are written as ``%0D`` and ``%0A``.
+    responses. A null page id is smaller than any other and is written as an empty header value. A line end
+    in a url, of whatever kind, would break a header: such a url is written with its line ends and percent signs
+    percent-encoded, a header says so, and ``read_archive`` gives the url back. Other urls are written as they are.
 
     Equal means equal SHA-256, SHA-1 and length. Only payloads that occur more than once are brought
     together, each combined before its shuffle, so a payload that fills a third of the table costs one
@@ -56,7 +78,7 @@ def write_archive(
         pages.select(
             F.monotonically_increasing_id().alias("record"),
             F.col(page_id).cast("long").alias("page_id"),
-            F.regexp_replace(F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "\r", "%0D"), "\n", "%0A").alias("url"),
+            F.coalesce(F.col(url), F.lit("")).alias("url"),
             F.sha2(body, 256).alias("sha256"),
             F.sha1(body).alias("sha1"),
             F.octet_length(body).cast("long").alias("bytes"),
@@ -80,12 +102,14 @@ def write_archive(
     owned = lookup_join(digests, owners, "sha256", ["record"], "left")
     original = F.col("owner").isNull() | (F.col("owner") == F.col("record"))
     length = F.octet_length(F.lit(_HTTP_HEAD)) + F.when(original, F.col("bytes")).otherwise(0)
+    broken = F.col("url").rlike(f"[{''.join(_LINE_ENDS)}]")
     header = F.concat(
         F.lit(_VERSION + _EOL),
         _line("WARC-Type", F.when(original, "response").otherwise("revisit")),
         _line("WARC-Record-ID", _record_id(F.col("record"))),
         _line("WARC-Date", F.lit(date)),
-        _line("WARC-Target-URI", F.col("url")),
+        _line("WARC-Target-URI", F.when(broken, _escaped(F.col("url"))).otherwise(F.col("url"))),
+        F.when(broken, _line(_ESCAPED, F.lit("yes"))).otherwise(""),
         _line("X-Page-ID", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(original, "").otherwise(
@@ -119,11 +143,14 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     text = F.decode("header", "UTF-8")
 
     def field(name: str) -> Column:
-        return F.regexp_extract(F.col("text"), f"(?m)^{name}: ([^\r\n]*)\r?$", 1)
+        # With (?d) a line ends at a line feed only, and no value holds one.
+        return F.regexp_extract(F.col("text"), f"(?dm)^{name}: ([^\r\n]*)\r?$", 1)
+
+    target = field("WARC-Target-URI")
 
     parsed = joined.withColumn("text", text).select(
         "header", "block_head", "payload", "sha256",
-        field("X-Page-ID").try_cast("long").alias("page_id"), field("WARC-Target-URI").alias("url"),
+        field("X-Page-ID").try_cast("long").alias("page_id"), F.when(field(_ESCAPED) == "yes", _plain(target)).otherwise(target).alias("url"),
         field("WARC-Type").alias("record_type"),
         F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
         field("X-Refers-To-Page-ID").try_cast("long").alias("refers_to"),

@@ -16,27 +16,36 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def slow_nearest(rows, every, k):
-    sound = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            sound[i] = min(sound.get(i, v), v)
-    out = {}
-    for q, v in sound.items():
+    """Every row but the query's own is a candidate."""
+    sound = [
+        (i, v) for i, v in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    out = []
+    for place, (q, v) in enumerate(sound):
         if q % every == 0:
-            others = sorted(i for i in sound if i != q and len(sound[i]) == len(v))
+            others = sorted((i, n) for n, (i, w) in enumerate(sound) if n != place and len(w) == len(v))
             if others:
-                scores = neighbours.cosines(np.array([sound[i] for i in others], float), np.array(v, float))
+                scores = neighbours.cosines(np.array([sound[n][1] for _, n in others], float), np.array(v, float))
                 order = sorted(zip(-scores, others))[:k]
-                out |= {(q, n + 1): (i, -s) for n, (s, i) in enumerate(order)}
-    return out
+                out += [(q, n + 1, i, -s) for n, (s, (i, _)) in enumerate(order)]
+    return sorted(out)
 
 
 def compare(spark, rows, every=10, k=5, settings=neighbours.Settings()):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score double, label int")
-    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in neighbours.nearest(df, every, k, settings).collect()}
+    got = sorted(map(tuple, neighbours.nearest(df, every, k, settings).collect()))
     return got, slow_nearest([(r["vec_id"], r["embedding"]) for r in df.collect()], every, k)
 
 
+def test_rows_that_share_an_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (1, [0.0, 1.0]), (2, [0.5, 0.5]), (0, [0.9, 0.1])]
+    got, expected = compare(spark, [(*r, 0.0, 1) for r in rows])
+    assert got == expected
+    first = [g for g in got if g[1] == 1]
+    assert [g[2] for g in first] == [1, 1] and len(got) == 8  # a repeated query id has two lists
+
+
 def test_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.standard_normal(6).tolist(), 0.0, 1) for i in range(60)]
@@ -55,10 +64,10 @@ def test_odd_vectors(spark):
 def test_recall_on_the_given_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
-    expected = {key: v for key, v in slow_nearest(rows, 50, 5).items()}
+    expected = slow_nearest(rows, 50, 5)
     got = {(r["query_id"], r["vec_id"]) for r in QUERIES["op6_neighbours"](spark, "/root/testdata/sf0.1").collect()}
     assert len(got) == len(expected)
-    assert np.mean([(q, i) in got for (q, _), (i, _) in expected.items()]) >= 0.95
+    assert np.mean([(q, i) in got for q, _, i, _ in expected]) >= 0.95
 
 
 # --- Conversations ---
@@ -145,6 +154,23 @@ def test_archive_keeps_each_payload_once(spark, tmp_path):
     assert warc.read_archive(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_urls_cannot_forge_headers_and_come_back(spark, tmp_path):
+    ends = ["\n", "\r", "\r\n", "\v", "\f", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+    forged = ["X-Page-ID: 77", "X-Refers-To-Page-ID: 5", "WARC-Payload-Digest: sha1:00", "X-Target-URI-Escaped: yes", "WARC-Type: revisit"]
+    urls = [f"http://a/%0A%25{end}{line}{end}b" for end in ends for line in forged]
+    urls += ["http://a/%0D%0A%25 plain", "X-Target-URI-Escaped: yes", "", "%", "é\u2028%C2%85"]
+    df = spark.createDataFrame([(i, u, "p" * 1500 if i % 3 else f"{i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    warc.write_archive(df, str(tmp_path / "w"))
+    got = {r["page_id"]: r for r in warc.read_archive(spark, str(tmp_path / "w")).collect()}
+    assert {i: r["url"] for i, r in got.items()} == dict(enumerate(urls))
+    last = max(i for i in got if i % 3)
+    for i, r in got.items():
+        assert (r["record_type"], r["refers_to"]) == (("revisit", last) if i % 3 and i != last else ("response", None))
+        head = bytes(r["record"]).partition(b"\r\n\r\n")[0].decode()
+        assert sum(line.startswith("X-Page-ID:") for line in head.splitlines()) == 1
+    assert "http://a/%0D%0A%25 plain" in bytes(got[urls.index("http://a/%0D%0A%25 plain")]["record"]).decode()
+
+
 def test_registered_archive_equals_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_DIR}/pages.parquet'")
