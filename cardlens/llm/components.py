@@ -3,7 +3,7 @@
 Each round moves every node to the smallest of its neighbours, first among the larger ones, then among the
 smaller ones, until every component is a star around its smallest node. Minima are combined before their
 shuffle and joined back, so a node with very many neighbours is no larger group than any other; its edges
-are split by adaptive execution where they meet their minimum. Every round is written to the shared folder,
+are spread where they meet their minimum. Every round is written to the shared folder,
 which cuts the lineage.
 """
 
@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cardlens.llm.common import materialize
+from cardlens.operators.joins import shuffle_join
 
 
 def _towards_minimum(pairs: DataFrame, keep: str) -> DataFrame:
     """Link each neighbour ``v`` of ``u`` for which ``keep`` holds, and u, to the smallest of u and its neighbours."""
     least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    linked = pairs.where(keep).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    linked = shuffle_join(pairs.where(keep), least, "u", ["v"]).select(F.col("v").alias("a"), F.col("m").alias("b"))
     own = least.select(F.col("u").alias("a"), F.col("m").alias("b"))
     return linked.unionByName(own).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlens.llm.common import materialize, slices
 from cardlens.llm.components import connected_components
-from cardlens.operators.joins import lookup_join
+from cardlens.operators.joins import lookup_join, shuffle_join
 
 BITS = 64
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -225,7 +225,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     )
     smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
     places = materialize(
-        spark, placed.join(smallest, "component").select(F.col("fp").alias("fingerprint"), "component", "component_id"),
+        spark,
+        shuffle_join(placed, smallest, "component", ["fp"]).select(F.col("fp").alias("fingerprint"), "component", "component_id"),
         "fingerprint-components",
     )
     return lookup_join(marked, places, "fingerprint", ["doc_id", "key"]).select(
@@ -245,7 +246,9 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     rows = materialize(spark, found.select("component", order.alias("order"), same), "near-duplicates")
     first = rows.groupBy("component").agg(F.min("order").alias("first"))
-    judged = rows.groupBy("component", "same", "order").agg(F.count("*").alias("n")).join(first, "component")
+    counted = rows.groupBy("component", "same", "order").agg(F.count("*").alias("n"))
+    # A component may hold most of the rows: they are spread where they meet its first.
+    judged = shuffle_join(counted, first, "component", ["same"])
     judged = materialize(
         spark, judged.select("same", F.col("order").eqNullSafe(F.col("first")).alias("stays"), "n"),
         "judged",
