@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -132,9 +132,9 @@ class Index:
     least: np.ndarray  # least product of a passage's unit vector and a window that holds ``common`` of its terms
     least_mass: float  # least sum of squared weights of a window that holds ``common`` of a passage's terms
 
-    def search(self, texts: list[str], known: Terms) -> Iterator[tuple[int, int, float, float]]:
+    def search(self, texts: list[str] | pa.Array, known: Terms) -> Iterator[tuple[int, int, float, float]]:
         """Text number, item number, cosine and common part of every finding."""
-        packed = [np.frombuffer(known.ids(t), "<i4") for t in texts]
+        packed = known.ids(texts)
         sizes = np.array([len(p) for p in packed])
         blocks = np.maximum(1, -(-sizes // BLOCK))
         first = np.cumsum(blocks) - blocks
@@ -237,8 +237,8 @@ def _frequencies(documents: DataFrame, text: str, number: dict[str, int]) -> tup
         known = known_terms(vocabulary.value)
         width = len(vocabulary.value) + 1
         total, count = np.zeros(width, np.int64), 0
-        for batch in slices(batches, text, 1 << 20):
-            packed = [np.frombuffer(known.ids(t), "<i4") for t in batch[text].to_pylist() if t]
+        for batch in slices(batches, text, 4 << 20):
+            packed = known.ids(pa.compute.fill_null(batch[text], ""))
             sizes = np.array([len(p) for p in packed], int)
             ids = np.concatenate(packed) if packed else np.empty(0, np.int32)
             many = -(-sizes // PASSAGE)
@@ -322,7 +322,7 @@ def find_leaks(
     def run_with(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = known_terms(shared.value.number)
-            for batch in slices(batches, "text", 1 << 20):
+            for batch in slices(batches, "text", 4 << 20):
                 ids = batch["doc_id"].to_pylist()
                 rows = [(ids[t], shared.value.item_ids[i], c, part) for (t, i), (c, part) in sorted(_best(shared.value, batch["text"], known).items())]
                 if rows:
@@ -340,7 +340,7 @@ def find_leaks(
 def _best(index: Index, texts: pa.Array, known: Terms) -> dict[tuple[int, int], tuple[float, float]]:
     """Cosine and common part of the best finding of each item in each text."""
     best: dict[tuple[int, int], tuple[float, float]] = {}
-    for text, item, cosine, common in index.search([t or "" for t in texts.to_pylist()], known):
+    for text, item, cosine, common in index.search(pa.compute.fill_null(texts, ""), known):
         best[text, item] = max(best.get((text, item), (0.0, 0.0)), (cosine, common))
     return best
 
@@ -351,7 +351,7 @@ def drop_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", s
     def run_with(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = known_terms(shared.value.number)
-            for batch in slices(batches, text, 1 << 20):
+            for batch in slices(batches, text, 4 << 20):
                 leaked = {t for t, _ in _best(shared.value, batch[text], known)}
                 yield batch.take(pa.array([i for i in range(batch.num_rows) if i not in leaked], pa.int64()))
 

@@ -205,15 +205,16 @@ def scan(
         known = known_terms(number)
         for batch in slices(batches, "text", 1 << 20):
             rows = []
-            for doc, whole in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = np.frombuffer(known.ids(whole or ""), "<i4").astype(np.int64)
+            given_texts = pa.compute.fill_null(batch["text"], "")
+            for doc, whole, ids in zip(batch["doc_id"].to_pylist(), given_texts, known.ids(given_texts)):
+                ids = ids.astype(np.int64)
                 both = np.flatnonzero((ids[1:] > 0) & (ids[:-1] > 0))
                 if len(both) < needed:
                     continue
                 seen = np.unique(ids[both] * width + ids[both + 1])
                 # A notice shares at least as many bigrams with its template as the lower size bound.
                 if np.isin(seen, pairs).sum() >= needed:
-                    rows += [(doc, *found) for found in ready.find(whole or "")]
+                    rows += [(doc, *found) for found in ready.find(whole.as_py())]
             if rows:
                 kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "licence", "dice", "begin", "end"])

@@ -195,6 +195,17 @@ def _manifest_sql(levels: int = 9, group_levels: int = 4) -> str:
 
 
 ORACLES = {
+    # The template's control strings take 8, 8 and 7 characters a turn, and each "<" or "[" one more.
+    "op7_chat": """
+        WITH c AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+             t AS (SELECT *, CASE WHEN role = 'assistant' THEN text END AS learned, role || text AS own FROM c)
+        SELECT conv_id, COUNT(*) AS n_turns,
+               SHA256(STRING_AGG(role || CHR(10) || text || CHR(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(COALESCE(SUM(LENGTH(learned)), 0) AS BIGINT) AS loss_chars,
+               SHA256(COALESCE(STRING_AGG(learned, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+               CAST(SUM(23 + 2 * LENGTH(own) - LENGTH(REPLACE(REPLACE(own, '<', ''), '[', ''))) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
     "op11_manifest": _manifest_sql(),
     "op12_negatives": """
         WITH v AS (SELECT ROW_NUMBER() OVER () AS row, vec_id, LEN(embedding) AS dims,

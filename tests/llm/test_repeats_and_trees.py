@@ -93,6 +93,10 @@ def test_manifest_equals_sql_and_marks_changed_texts(spark):
     assert changed and {d for d, ok in got.items() if not ok} == changed
 
 
+def test_conversations_equal_sql(spark):
+    same_as_sql(spark, "op7_chat", "conversations")
+
+
 # --- Hard negatives ---
 
 
