@@ -15,7 +15,7 @@ _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 def typed_value(df: DataFrame, table: TableSchema, column: str) -> Column:
     """The column in its declared type, null where it does not fit. A number with a fraction does not fit
-    an INTEGER."""
+    an INTEGER or BIGINT."""
     value, wanted = F.col(column), table.spark_type(column)
     kind = df.schema[column].dataType
     if wanted == "integer" and isinstance(kind, T.NumericType):
@@ -24,8 +24,10 @@ def typed_value(df: DataFrame, table: TableSchema, column: str) -> Column:
         if isinstance(kind, T.FractionalType):
             fits = fits & (value == F.floor(value))
         return F.when(fits, value).cast("int")
-    if wanted == "integer" and isinstance(kind, T.StringType):
-        return F.when(~value.rlike(r"\.0*[1-9]"), value.try_cast("decimal(38,6)")).try_cast("int")
+    if wanted in ("integer", "bigint") and isinstance(kind, T.StringType):
+        return F.when(~value.rlike(r"\.0*[1-9]"), value.try_cast("decimal(38,6)")).try_cast(wanted)
+    if wanted == "bigint" and isinstance(kind, T.FractionalType):
+        return F.when(value == F.floor(value), value).try_cast("bigint")
     return value.try_cast(wanted)
 
 

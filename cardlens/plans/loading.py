@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from cardlens.operators.clean import clean
 from cardlens.operators.quality import apply_schema, key_violations, violation_counts
 from cardlens.operators.updates import apply_updates, unmatched_updates, update_conflicts, update_violations
-from cardlens.schemas import CORRUPT, CUSTOMER, LOAN_TABLE, TABLES
+from cardlens.schemas import CORRUPT, CUSTOMER, LOAN_TABLE, TABLES, TableSchema
 from cardlens.sources.tables import read_table, register, write_table
 
 # Sort inside the files of a table, by the column its look-ups filter on.
@@ -28,13 +28,14 @@ def _require_unique(df: DataFrame, keys: tuple[str, ...], what: str) -> None:
         raise LoadRejected(f"{what}: {', '.join(keys)} is not a unique, non-null key")
 
 
-def load_table(spark: SparkSession, dataset: str, raw: DataFrame, path: str) -> DataFrame:
+def load_table(spark: SparkSession, dataset: str, raw: DataFrame, path: str, table: TableSchema | None = None) -> DataFrame:
     """Clean a raw dataset, write it to ``path`` as a typed table and return that table.
 
     The raw input is read once: values that do not fit their type or length are counted while the
-    rows are being written, and the key is checked on the key column of the written table.
+    rows are being written, and the key is checked on the key column of the written table. ``table`` replaces
+    the dataset's own, say with a wider transaction id (``TableSchema.with_types``).
     """
-    table = TABLES.get(dataset)
+    table = table or TABLES.get(dataset)
     cleaned = clean(dataset, raw)
     rules = violation_counts(cleaned, table)
     seen = Observation(f"load {dataset}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -69,6 +69,14 @@ class TableSchema:
             ddl += f", {MONTH_COLUMN} string"
         return T.StructType.fromDDL(ddl)
 
+    def with_types(self, **types: str) -> TableSchema:
+        """The table with other SQL types for some columns: ``CREDIT.with_types(TRANSACTION_ID="BIGINT")`` holds
+        more than the 2^31 transactions that the declared INTEGER numbers."""
+        unknown = types.keys() - self.columns.keys()
+        if unknown:
+            raise ValueError(f"{self.name} has no columns {sorted(unknown)}")
+        return replace(self, columns=self.columns | types)
+
     def jdbc_types(self) -> str:
         return ", ".join(f"{c} {kind}" for c, kind in self.columns.items())
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cardlens.plans import reports
 from cardlens.plans.loading import LoadRejected, load_table, load_tables, update_customers
-from cardlens.schemas import CUSTOMER, UPDATABLE
+from cardlens.schemas import CREDIT, CUSTOMER, UPDATABLE
 from conftest import plan, rows
 
 
@@ -63,3 +63,17 @@ def test_update_refuses_an_undefined_order(spark, tables, tmp_path):
     updates = spark.createDataFrame([(1, 1, *values), (1, 1, *values)], ["SSN", "seq", *UPDATABLE])
     with pytest.raises(LoadRejected, match="seq"):
         update_customers(spark, tables["customer"], updates, str(tmp_path / "v2"))
+
+
+def test_transaction_ids_beyond_an_integer(spark, raw_credit, tmp_path):
+    many = raw_credit.withColumn("TRANSACTION_ID", F.col("TRANSACTION_ID") + 2**31)
+    with pytest.raises(LoadRejected, match="cast:TRANSACTION_ID"):
+        load_table(spark, "credit", many, str(tmp_path / "narrow"))
+    wide = CREDIT.with_types(TRANSACTION_ID="BIGINT")
+    loaded = load_table(spark, "credit", many, str(tmp_path / "wide"), wide)
+    assert sorted(r["TRANSACTION_ID"] for r in loaded.collect()) == [2**31 + i for i in range(1, 6)]
+    parts = raw_credit.withColumn("TRANSACTION_ID", F.col("TRANSACTION_ID") + 0.5)
+    with pytest.raises(LoadRejected, match="cast:TRANSACTION_ID"):
+        load_table(spark, "credit", parts, str(tmp_path / "parts"), wide)
+    with pytest.raises(ValueError):
+        CREDIT.with_types(NO_SUCH="BIGINT")
