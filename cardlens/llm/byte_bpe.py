@@ -297,8 +297,9 @@ def encode_and_decode(
     """``encode`` and ``decode`` in one pass: ``text`` is replaced by ``ids``, packed, and ``decoded``, the bytes
     that these ids stand for. One worker a task does both, and the text is not sent back.
 
-    Every row comes back once with its other columns; one that is already called ``ids`` or ``decoded`` is
-    an error. A null text has no ids and no bytes.
+    Every row comes back once with its other columns, rows that repeat a document included; a column that is already called
+    ``ids`` or ``decoded`` is an error. A null text has no ids and no bytes, a text of any length is encoded whole, and an
+    empty table stays empty.
     """
     others = [f for f in df.schema.fields if f.name != text]
     if {ids, decoded} & {f.name for f in others} or ids == decoded:

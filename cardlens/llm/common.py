@@ -131,6 +131,11 @@ def kept(key: object, make: Callable[[], object]) -> object:
     return _KEPT[0][1]
 
 
+def forget() -> None:
+    """Let go of what is ``kept``. For operators that keep nothing themselves, but whose workers served another."""
+    _KEPT.clear()
+
+
 def known_terms(number: dict[str, int]) -> Terms:
     """The ``Terms`` of a vocabulary (0: any other term), as ``kept`` keeps them."""
     return kept(("terms", len(number), hash(frozenset(number.items()))), lambda: Terms(lambda t: number.get(t, 0)))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cardlens.llm.common import slices, unused
+from cardlens.llm.common import forget, slices, unused
 
 CHUNK, STEP = 256, 192
 WIDTH, STRIDE = 8, 2
@@ -214,13 +214,19 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = 1500, max_by
 
 
 def add_score(df: DataFrame, net: Network, text: str = "text", out: str = "score") -> DataFrame:
-    """``df`` with ``out``, the probability that its whole text is good. A null text is scored as an empty one."""
+    """``df`` with ``out``, the probability that its whole text is good, between 0 and 1.
+
+    A null text is scored as an empty one; a text of any length is scored whole, chunk by chunk. Every row comes back
+    once, so rows that repeat a document repeat its score; an empty table stays empty. A column that is already
+    called ``out`` is an error.
+    """
     if out in df.columns:
         raise ValueError(f"there is a column {out!r} already")
     model = df.sparkSession.sparkContext.broadcast(net)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         tables = model.value.tables()
         for batch in slices(batches, text, 1 << 20):
             found = score([t or "" for t in batch[text].to_pylist()], model.value, tables)
@@ -230,6 +236,7 @@ def add_score(df: DataFrame, net: Network, text: str = "text", out: str = "score
 
 
 def keep_good(df: DataFrame, net: Network, least: float = 0.3, text: str = "text") -> DataFrame:
-    """The rows whose text scores ``least`` or more, with the columns they came with."""
+    """The rows whose text scores ``least`` or more (exactly ``least`` stays), with the columns they came with, whatever
+    their names. Rows that repeat a document are judged alike; null texts are judged as empty ones."""
     name = unused(df.columns, "score")
     return add_score(df, net, text, name).where(F.col(name) >= least).drop(name)

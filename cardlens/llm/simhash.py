@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardlens.llm.common import materialize, slices
+from cardlens.llm.common import forget, materialize, slices
 from cardlens.llm.components import connected_components
 from cardlens.operators.joins import lookup_join, shuffle_join
 
@@ -68,6 +68,7 @@ def add_fingerprints(df: DataFrame, text: str = "text", shingle: int = 4, out: s
     schema = T.StructType([*kept, T.StructField(out, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, text, 1 << 20):
             found = fingerprints([t or "" for t in batch[text].to_pylist()], shingle).view(np.int64)
             columns = [batch[f.name] for f in kept]
