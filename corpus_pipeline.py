@@ -2,7 +2,8 @@
 benchmark item, as token ids.
 
 Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet and read again as the docs of the
-next. All but the last return the columns of the table documents.
+next. All but the last return the columns of the table documents. An empty table gives empty results, texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -15,23 +16,30 @@ from cardlens.llm.common import materialize
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality network, trained on the labels that are not held out, does not reject."""
+    """Documents that the quality network, trained on the labels that are not held out, does not reject.
+
+    A null text is judged as an empty one, rows that repeat a document alike; columns stay, whatever their names.
+    """
     net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, net, least=0.3)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of linked fingerprints."""
+    """One document, that with the smallest id, of each group of linked fingerprints.
+
+    Null and empty texts are linked like any others; where all ids are null, the smallest text hash decides; of rows
+    that repeat id and text, one stays.
+    """
     return simhash.drop_near_duplicates(docs, shingle=4, max_bits=4)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, exact or paraphrased."""
+    """Documents that hold no benchmark item, exact or paraphrased. Null and empty texts hold none."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's token ids, packed, and whether they decode to its text."""
+    """Each document's token ids, packed, and whether they decode to its text. A null text has no ids."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     given = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
     return byte_bpe.encode_and_decode(given, ranks, public_tokenizers.PATTERN).select(
