@@ -16,7 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from cardlens.llm.common import Remembered, as_strings, joined, kept, packed_words, slices, split
+from cardlens.llm.common import Remembered, as_strings, joined, kept, listed, packed_words, slices, split
 
 _NONE = 1 << 62  # no pair, or a pair that has no rank
 _POSITION_BITS = 40
@@ -200,6 +200,7 @@ class Encoder:
         words, matches = self._words, self._matches
         texts = as_strings(texts)
         ends, numbers, units = split(texts)
+        units = listed(units)
         later = np.ones(len(numbers), bool)
         later[ends[:-1]] = False  # the first unit of a text has no space in front
         later_units = np.zeros(len(units), bool)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cardlens.session import shared_path
 
 _WORD = re.compile(r"\w+")
+_SIGNS = ",.!?;:()[]\"'-"  # may stand around a word without changing its terms
 
 
 def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -46,27 +47,45 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 4 <<
 
 
 class Terms(dict):
-    """Raw word -> the int32 numbers of its normalised terms, as bytes, remembered up to ``limit`` words.
+    """Word -> the int32 numbers of its normalised terms, as bytes, remembered up to ``limit`` words.
 
-    A term is a run of letters and digits in lower case. ``number`` gives a term's number. With the texts
-    cut at spaces, ``ids`` costs one look-up for each different word of them, whatever the normalisation costs.
+    A term is a run of letters and digits in lower case. ``number`` gives a term's number, from 1; any other term
+    has 0. Texts are cut at spaces, and each different word of them is looked up once; ASCII words that are one
+    term between signs are looked up all together, and only the others are remembered.
     """
 
-    def __init__(self, number: Callable[[str], int], limit: int = 250_000):
+    def __init__(self, number: dict[str, int], limit: int = 250_000):
         super().__init__()
         self._number, self._limit = number, limit
+        self._terms = pa.array(list(number), pa.string())
+        self._numbers = np.append(np.fromiter(number.values(), np.int32, len(number)), np.int32(0))
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self._limit:
             self.clear()
-        value = b"".join([self._number(t).to_bytes(4, "little") for t in (_cut(word) if word else ())])
+        value = b"".join([self._number.get(t, 0).to_bytes(4, "little") for t in (_cut(word) if word else ())])
         self[word] = value
         return value
 
     def ids(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """The numbers of each text's terms. No term reaches over white space, so a space parts words as well as any."""
         ends, numbers, words = split(as_strings(texts))
-        return [np.frombuffer(p, "<i4") for p in packed_words([self[w] for w in words], numbers, ends, 4)]
+        compute = pa.compute
+        inner = compute.ascii_trim(words, _SIGNS)
+        plain = compute.and_(compute.string_is_ascii(words), compute.ascii_is_alnum(inner)).to_numpy(zero_copy_only=False)
+        found = compute.fill_null(compute.index_in(compute.ascii_lower(inner), self._terms), -1).to_numpy(zero_copy_only=False)
+        others = [self[w] for w in listed(words.filter(pa.array(~plain)))]
+        sizes = np.ones(len(words), np.int64)
+        sizes[~plain] = np.fromiter(map(len, others), np.int64, len(others)) // 4
+        values = np.zeros(int(sizes.sum()), "<i4")
+        starts = np.cumsum(sizes) - sizes
+        values[starts[plain]] = self._numbers[found[plain]]
+        odd = np.repeat(~plain, sizes)
+        values[odd] = np.frombuffer(b"".join(others), "<i4")
+        own = sizes[numbers]
+        whole = joined(values, starts[numbers], own)
+        bounds = np.append(0, np.cumsum(own))[ends].tolist()
+        return [whole[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 class Remembered(dict):
@@ -101,12 +120,16 @@ def as_strings(texts: list[str] | pa.Array) -> pa.Array:
     return texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
 
 
-def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def listed(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()  # to_pylist is much slower
+
+
+def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Texts cut at spaces: where the words of each begin, the number of each word, and the different words."""
     cut = pa.compute.split_pattern(texts, " ")
     ends = np.append(0, np.cumsum(pa.compute.list_value_length(cut).to_numpy(zero_copy_only=False)))
     coded = cut.flatten().dictionary_encode()
-    return ends, coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return ends, coded.indices.to_numpy(), coded.dictionary
 
 
 def packed_words(packed: list[bytes], numbers: np.ndarray, ends: np.ndarray, width: int) -> list[bytes]:
@@ -138,7 +161,7 @@ def forget() -> None:
 
 def known_terms(number: dict[str, int]) -> Terms:
     """The ``Terms`` of a vocabulary (0: any other term), as ``kept`` keeps them."""
-    return kept(("terms", len(number), hash(frozenset(number.items()))), lambda: Terms(lambda t: number.get(t, 0)))
+    return kept(("terms", len(number), hash(frozenset(number.items()))), lambda: Terms(number))
 
 
 def _cut(word: str) -> list[str]:

@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlens.llm.common import Remembered, as_strings, kept, packed_words, slices, split, unused
+from cardlens.llm.common import Remembered, as_strings, kept, listed, packed_words, slices, split, unused
 
 _MANIFEST = "part int, file string, documents long, ids long, first_document long, first_id long, width int"
 # Latin letters that no normalisation of Unicode composes or splits; signs and digits that may follow them.
@@ -98,6 +98,7 @@ class WordEncoder:
     def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text, packed. A word is looked up once, however often the texts hold it."""
         ends, numbers, words = split(pa.compute.replace_substring(as_strings(texts), "\n", " "))
+        words = listed(words)
         self._known.age()
         self._rests.age()
         new = self._known.unknown(set(words))
