@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cardlens.llm import manifest, negatives, suffix_dedup
 from cardlens.llm.induced import Scratch, sorted_suffixes
 from cardlens.llm.queries import ORACLES, QUERIES
+from cardlens.operators import lookup_join
 from odd import docs_of, odd_rows  # noqa: F401 (fixtures)
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -236,6 +237,19 @@ def test_dedup_equals_brute_force(spark, docs_of, odd_rows, least, settings):
     assert digests(suffix_dedup.remove_repeats(docs_of(rows), least, settings=settings)) == slow_dedup(rows, least)
 
 
+@pytest.mark.parametrize("settings", [suffix_dedup.Settings(), suffix_dedup.Settings(hot=100)])
+def test_dedup_without_broadcasts_equals_brute_force(spark, docs_of, odd_rows, conf, monkeypatch, settings):
+    """As over tables whose lookups, by digests and markers, are all too large to be broadcast."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(
+        suffix_dedup, "lookup_join", lambda facts, lookup, key, by, how="inner", most=0: lookup_join(facts, lookup, key, by, how, -1)
+    )
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcé ") for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    rows = odd_rows + [(i, rng.choice(texts[:4]) + rng.choice(texts) + texts[0]) for i in range(100, 200)] + [(7, texts[1] * 2)] * 60
+    assert digests(suffix_dedup.remove_repeats(docs_of(rows), 12, settings=settings)) == slow_dedup(rows, 12)
+
+
 def test_dedup_of_nothing(spark, docs_of):
     empty = suffix_dedup.remove_repeats(docs_of([(1, "a")]).limit(0))
     assert empty.columns == ["doc_id", "n_bytes", "spans", "kept"] and empty.count() == 0

@@ -1,5 +1,7 @@
 """What must hold at any size: hot keys are spread, nothing large is broadcast or sent to one task."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +65,17 @@ def test_hot_keys_are_found_and_few(spark, facts):
     assert hot_keys(facts.select(F.col("k").cast("string")).where("k IS NULL OR k = '1'"), "k") == ["1", None]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_binary_keys_are_found_hot_and_spread(facts, lookup, conf, how):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    digest = F.unhex(F.sha2(F.col("k").cast("string"), 256)).alias("k")
+    facts, lookup = facts.select(digest, "id"), lookup.select(digest, "v")
+    assert hot_keys(facts.where("id % 2 = 0 OR k IS NULL"), "k") == [hashlib.sha256(b"1").digest(), None]
+    salted = lookup_join(facts, lookup, "k", ["id"], how, max_broadcast_bytes=-1)
+    assert "_salt" in plan(salted) and "BroadcastHashJoin" not in plan(salted)
+    assert sorted(rows(salted), key=str) == sorted(rows(facts.join(lookup, "k", how)), key=str)
+
+
 def test_without_hot_keys_nothing_is_salted(spark, lookup, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     even = spark.range(10_000).select(F.pmod(F.col("id"), F.lit(1000)).alias("k"), "id")
